@@ -129,8 +129,12 @@ def verdict(m: Column, rules: tuple[Rule, ...] = TABLE) -> tuple[Column, Column]
 
 def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = TABLE) -> DataFrame:
     """``docs`` with a struct column ``__rules`` of all measures and verdicts."""
-    failed, kept = verdict(F.col("__m"), rules)
-    return docs.withColumn("__m", measures(F.col(text_col))).withColumn("__rules", F.col("__m").withField("base_failed", failed).withField("kept", kept)).drop("__m")
+
+    def judged(m: Column) -> Column:
+        failed, kept = verdict(m, rules)
+        return m.withField("base_failed", failed).withField("kept", kept)
+
+    return docs.withColumn("__rules", _let(measures(F.col(text_col)), judged))
 
 
 def kept_only(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = TABLE) -> DataFrame:
