@@ -3,12 +3,15 @@
 1. One pass over the texts: per row the size of its shingle set, a 128-bit key of the set, a bucket for each band of minima,
    and the low ``BIT`` bits of all minima packed into longs.
 2. Rows with equal sets form a class at once (map-side combine), so groups of copies cost one row each from here on.
-3. In each bucket every member is paired with the smallest only (a star, no pair of any two members); packed signatures
-   give a collision-corrected estimate by bit counts; each member's best pair is confirmed on the full sets; confirmed
-   links make components.
-4. In buckets that still hold several components, members of different components meet in a self-join whose condition
-   is the estimate, so a pair passes only if it may be a link; those too are confirmed on the full sets. Thus
-   any two members of a bucket are compared or already connected, and stars lose no component.
+3. In each bucket every member is paired with one centre only (a star, no pair of any two members), the member whose
+   buckets hold most rows in all: among edited copies that is the text nearest to what they have in common. Packed
+   signatures give a collision-corrected estimate by bit counts; each member's best pair is confirmed on the full sets;
+   confirmed links make components.
+4. In buckets that still hold several components, members meet the ``CENTRES`` heaviest of other components, by the
+   same estimate and confirmation; that connects large groups of edited copies, in proportion to their size.
+5. In buckets that even then hold several components, members of different components meet in a self-join whose
+   condition is the estimate, so a pair passes only if it may be a link; those too are confirmed on the full sets.
+   Thus any two members of a bucket are compared or already connected, and stars lose no component.
 
 Bands are chosen so that a pair at the threshold shares no bucket with a probability of at most 1e-6; an estimate drops a
 pair only ``MARGIN`` standard deviations below the threshold.
@@ -26,28 +29,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .components import components, rooted
+from .components import components
 from .storage import table, written
 from .textcore import Words, distinct_in, mixed, slices, texts
 
 U = np.uint64
-MARGIN = 6.0
+MARGIN = 5.0
+CENTRES = 8
 #: Up to so many ids (8 bytes each) the documents to confirm are found by a broadcast, beyond that by a shuffled join.
 BROADCAST_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
 class Plan:
-    """words in a shingle, percent of the union that links, minima per band, low bits kept of each minimum."""
+    """words in a shingle, percent of the union that links, minima per band, low bits kept of each minimum, least number of minima for the estimate."""
 
     shingle: int = 5
     percent: int = 80
     rows: int = 6
-    bits: int = 4
+    bits: int = 2
     miss: float = 1e-6
+    least_minima: int = 1024
 
     @property
     def bands(self) -> int:
@@ -55,12 +60,13 @@ class Plan:
 
     @property
     def minima(self) -> int:
-        return self.bands * self.rows
+        return max(self.least_minima, self.bands * self.rows)
 
     @property
     def least_estimate(self) -> float:
-        t = self.percent / 100
-        return t - MARGIN * math.sqrt(t * (1 - t) / self.minima)
+        t, chance = self.percent / 100, 2.0**-self.bits
+        agree = chance + (1 - chance) * t
+        return t - MARGIN * math.sqrt(agree * (1 - agree) / self.minima) / (1 - chance)
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,31 +90,32 @@ class Minima:
     def __init__(self, plan: Plan):
         self.plan = plan
         random = np.random.Generator(np.random.PCG64(77))
-        self.a = random.integers(0, 1 << 63, plan.minima, dtype=np.uint64) * U(2) + U(1)
-        self.b = random.integers(0, 1 << 63, plan.minima, dtype=np.uint64)
+        self.a = random.integers(0, 1 << 31, plan.minima, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.b = random.integers(0, 1 << 32, plan.minima, dtype=np.uint32)
 
     def of(self, key: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """uint32 minima, a row for each text; no text may be empty."""
-        out = np.empty((self.plan.minima, len(first) - 1), np.uint32)
+        """uint32 minima, a row for each text; no text may be empty. The keys are hashes: a bijection of 32 bits reorders them."""
+        key = (key >> U(32)).astype(np.uint32)
+        out, held = np.empty((self.plan.minima, len(first) - 1), np.uint32), np.empty_like(key)
         for i in range(self.plan.minima):
-            out[i] = np.minimum.reduceat(((key * self.a[i] + self.b[i]) >> U(32)).astype(np.uint32), first[:-1])
-        return out.T
+            np.multiply(key, self.a[i], out=held)
+            np.add(held, self.b[i], out=held)
+            np.minimum.reduceat(held, first[:-1], out=out[i])
+        return np.ascontiguousarray(out.T)
 
     def buckets(self, minima: np.ndarray) -> np.ndarray:
         p = self.plan
         h = np.full((len(minima), p.bands), U(1469598103934665603), np.uint64) + np.arange(p.bands, dtype=np.uint64)
         for k in range(p.rows):
-            h = mixed(h * U(0x100000001B3) + minima[:, k :: p.rows].astype(np.uint64))
+            h = mixed(h * U(0x100000001B3) + minima[:, k : p.bands * p.rows : p.rows].astype(np.uint64))
         return h.view(np.int64)
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
         """The low bits of all minima in longs."""
         per = 64 // self.plan.bits
         low = minima.astype(np.uint64) & U((1 << self.plan.bits) - 1)
-        out = np.zeros((len(minima), -(-self.plan.minima // per)), np.uint64)
-        for i in range(self.plan.minima):
-            out[:, i // per] |= low[:, i] << U(self.plan.bits * (i % per))
-        return out.view(np.int64)
+        low = np.pad(low, ((0, 0), (0, -self.plan.minima % per))).reshape(len(minima), -1, per)
+        return np.bitwise_or.reduce(low << (np.arange(per, dtype=np.uint64) * U(self.plan.bits)), axis=2).view(np.int64)
 
 
 def signatures(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
@@ -194,24 +201,44 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     # A class is known by its smallest id; where an id stands for several texts, by the first of their classes.
     light = classes.select("id", "n", "low")
     members = classes.select("id", F.explode("buckets").alias("bucket"))
-    shared = written(members.groupBy("bucket").agg(F.min("id").alias("lo"), F.count("*").alias("m")).where("m > 1").select(F.col("bucket").alias("key"), "lo"), "buckets")
-    star = members.join(shared, F.col("bucket") == F.col("key")).where("id <> lo").groupBy(F.col("lo").alias("a"), F.col("id").alias("b")).agg(F.lit(1).alias("one"))
+    shared = written(members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select(F.col("bucket").alias("key"), "m"), "buckets")
+    grouped = written(members.join(shared, F.col("bucket") == F.col("key")).select("bucket", "id", "m"), "grouped")
+    weights = written(grouped.groupBy(F.col("id").alias("w_id")).agg(F.sum("m").alias("w")), "weights")
+    weighed = written(grouped.join(weights, F.col("id") == F.col("w_id")).select("bucket", "id", "w"), "weighed")
+    centres = written(weighed.groupBy(F.col("bucket").alias("key")).agg((-F.max(F.struct("w", (-F.col("id")).alias("x")))["x"]).alias("centre")), "centres")
+    pair = weighed.join(centres, F.col("bucket") == F.col("key")).where("id <> centre")
+    star = pair.groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).agg(F.lit(1).alias("one"))
 
     part = lambda c: light.select(F.col("id").alias(f"id_{c}"), F.col("n").alias(f"n_{c}"), F.col("low").alias(f"low_{c}"))
     close = (100 * F.least("n_a", "n_b") >= plan.percent * F.greatest("n_a", "n_b")) & (estimate(F.col("low_a"), F.col("low_b"), plan) >= plan.least_estimate)
     likely = star.join(part("a"), F.col("a") == F.col("id_a")).join(part("b"), F.col("b") == F.col("id_b")).where(close)
-    best = likely.groupBy("b").agg(F.max(F.struct(estimate(F.col("low_a"), F.col("low_b"), plan).alias("e"), (-F.col("a")).alias("na"))).alias("x")).select((-F.col("x.na")).alias("a"), "b")
+    scored = written(likely.select("a", "b", estimate(F.col("low_a"), F.col("low_b"), plan).alias("e")), "likely")
+    ends = scored.select(F.col("b").alias("v"), F.col("a").alias("u"), "e").union(scored.select("a", "b", "e"))
+    best = ends.groupBy("v").agg(F.max(F.struct("e", (-F.col("u")).alias("x")))["x"].alias("x")).select(F.least("v", -F.col("x")).alias("a"), F.greatest("v", -F.col("x")).alias("b")).distinct()
     first = confirmed(written(best, "pairs"), docs, plan, id_col, text_col)
-    forest = rooted(first.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("root")))
-
-    with_root = members.join(shared, F.col("bucket") == F.col("key"), "left_semi").join(forest, F.col("id") == F.col("v"), "left").select("bucket", "id", F.coalesce("root", "id").alias("c"))
-    labelled = written(with_root, "members")
-    open_ = written(labelled.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select(F.col("bucket").alias("key")), "open-buckets")
-    rest = written(labelled.join(open_, F.col("bucket") == F.col("key"), "left_semi").join(light, "id").select("bucket", "id", "c", "n", "low"), "open-members")
-    one = lambda c: rest.select(*[F.col(x).alias(f"{x}_{c}") for x in ("bucket", "id", "c", "n", "low")])
-    across = one("a").join(one("b"), (F.col("bucket_a") == F.col("bucket_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & close)
-    second = confirmed(written(across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs"), docs, plan, id_col, text_col)
-    roots = components(first.union(second))
+    forest = components(first)
+
+    def still_open(labels: DataFrame, within: DataFrame) -> DataFrame:
+        """(bucket, id, w, c, n, low) of the members of buckets with several components."""
+        now = written(within.select("bucket", "id", "w").join(labels, F.col("id") == F.col("v"), "left").select("bucket", "id", "w", F.coalesce("root", "id").alias("c")), "members")
+        keys = written(now.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select(F.col("bucket").alias("key")), "open-buckets")
+        return written(now.join(keys, F.col("bucket") == F.col("key"), "left_semi").join(light, "id").select("bucket", "id", "w", "c", "n", "low"), "open-members")
+
+    def side(rows: DataFrame, c: str) -> DataFrame:
+        return rows.select(*[F.col(x).alias(f"{x}_{c}") for x in ("bucket", "id", "c", "n", "low")])
+
+    def likely_links(left: DataFrame, right: DataFrame, which: Column) -> DataFrame:
+        met = side(left, "a").join(side(right, "b"), (F.col("bucket_a") == F.col("bucket_b")) & (F.col("c_a") != F.col("c_b")) & which & close)
+        return written(met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "pairs")
+
+    rest = still_open(forest, weighed)
+    heaviest = Window.partitionBy("bucket").orderBy(F.desc("w"), "id")  # limited before the shuffle, CENTRES rows a bucket and task
+    centres = written(rest.withColumn("k", F.row_number().over(heaviest)).where(F.col("k") <= CENTRES).drop("k"), "centres")
+    second = confirmed(likely_links(rest, centres, F.col("id_a") != F.col("id_b")), docs, plan, id_col, text_col)
+    links = first.union(second)
+    rest = still_open(components(links), rest)
+    third = confirmed(likely_links(rest, rest, F.col("id_a") < F.col("id_b")), docs, plan, id_col, text_col)
+    roots = components(links.union(third))
 
     settled = written(classes.select("k1", "k2", "id").join(roots, F.col("id") == F.col("v"), "left").select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), F.coalesce("root", "id").alias("component_id")), "class-components")
     joined = linked.select("id", "n", "k1", "k2").join(settled, (F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2"))).select("id", "n", "component_id")
