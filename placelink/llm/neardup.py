@@ -10,7 +10,8 @@
 4. In buckets that still hold several components, members meet the ``CENTRES`` heaviest of other components, by the
    same estimate and confirmation; that connects large groups of edited copies, in proportion to their size.
 5. In buckets that even then hold several components, members of different components meet in a self-join whose
-   condition is the estimate, so a pair passes only if it may be a link; those too are confirmed on the full sets.
+   condition is the estimate, so a pair passes only if it may be a link, and only in the first bucket that it shares;
+   those too are confirmed on the full sets.
    Thus any two members of a bucket are compared or already connected, and stars lose no component.
 
 Bands are chosen so that a pair at the threshold shares no bucket with a probability of at most 1e-6; an estimate drops a
@@ -199,12 +200,12 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     linked = rows.where(F.col("id").isNotNull() & (F.col("n") > 0))
     classes = written(linked.groupBy("k1", "k2").agg(F.min(F.struct("id", "n", "low", "buckets")).alias("r")).select("k1", "k2", "r.*"), "classes")
     # A class is known by its smallest id; where an id stands for several texts, by the first of their classes.
-    light = classes.select("id", "n", "low")
-    members = classes.select("id", F.explode("buckets").alias("bucket"))
+    light = classes.select("id", "n", "low", "buckets")
+    members = classes.select("id", F.posexplode("buckets").alias("band", "bucket"))
     shared = written(members.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select(F.col("bucket").alias("key"), "m"), "buckets")
-    grouped = written(members.join(shared, F.col("bucket") == F.col("key")).select("bucket", "id", "m"), "grouped")
+    grouped = written(members.join(shared, F.col("bucket") == F.col("key")).select("band", "bucket", "id", "m"), "grouped")
     weights = written(grouped.groupBy(F.col("id").alias("w_id")).agg(F.sum("m").alias("w")), "weights")
-    weighed = written(grouped.join(weights, F.col("id") == F.col("w_id")).select("bucket", "id", "w"), "weighed")
+    weighed = written(grouped.join(weights, F.col("id") == F.col("w_id")).select("band", "bucket", "id", "w"), "weighed")
     centres = written(weighed.groupBy(F.col("bucket").alias("key")).agg((-F.max(F.struct("w", (-F.col("id")).alias("x")))["x"]).alias("centre")), "centres")
     pair = weighed.join(centres, F.col("bucket") == F.col("key")).where("id <> centre")
     star = pair.groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).agg(F.lit(1).alias("one"))
@@ -219,13 +220,13 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     forest = components(first)
 
     def still_open(labels: DataFrame, within: DataFrame) -> DataFrame:
-        """(bucket, id, w, c, n, low) of the members of buckets with several components."""
-        now = written(within.select("bucket", "id", "w").join(labels, F.col("id") == F.col("v"), "left").select("bucket", "id", "w", F.coalesce("root", "id").alias("c")), "members")
+        """(band, bucket, id, w, c, n, low, buckets) of the members of buckets with several components."""
+        now = written(within.select("band", "bucket", "id", "w").join(labels, F.col("id") == F.col("v"), "left").select("band", "bucket", "id", "w", F.coalesce("root", "id").alias("c")), "members")
         keys = written(now.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select(F.col("bucket").alias("key")), "open-buckets")
-        return written(now.join(keys, F.col("bucket") == F.col("key"), "left_semi").join(light, "id").select("bucket", "id", "w", "c", "n", "low"), "open-members")
+        return written(now.join(keys, F.col("bucket") == F.col("key"), "left_semi").join(light, "id").select("band", "bucket", "id", "w", "c", "n", "low", "buckets"), "open-members")
 
     def side(rows: DataFrame, c: str) -> DataFrame:
-        return rows.select(*[F.col(x).alias(f"{x}_{c}") for x in ("bucket", "id", "c", "n", "low")])
+        return rows.select(*[F.col(x).alias(f"{x}_{c}") for x in ("band", "bucket", "id", "c", "n", "low", "buckets")])
 
     def likely_links(left: DataFrame, right: DataFrame, which: Column) -> DataFrame:
         met = side(left, "a").join(side(right, "b"), (F.col("bucket_a") == F.col("bucket_b")) & (F.col("c_a") != F.col("c_b")) & which & close)
@@ -237,7 +238,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     second = confirmed(likely_links(rest, centres, F.col("id_a") != F.col("id_b")), docs, plan, id_col, text_col)
     links = first.union(second)
     rest = still_open(components(links), rest)
-    third = confirmed(likely_links(rest, rest, F.col("id_a") < F.col("id_b")), docs, plan, id_col, text_col)
+    first_band = F.coalesce(*[F.when(F.get("buckets_a", F.lit(i)) == F.get("buckets_b", F.lit(i)), F.lit(i)) for i in range(plan.bands)])
+    third = confirmed(likely_links(rest, rest, (F.col("id_a") < F.col("id_b")) & (first_band == F.col("band_a"))), docs, plan, id_col, text_col)
     roots = components(links.union(third))
 
     settled = written(classes.select("k1", "k2", "id").join(roots, F.col("id") == F.col("v"), "left").select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), F.coalesce("root", "id").alias("component_id")), "class-components")
