@@ -96,11 +96,10 @@ def canonical(obs: DataFrame, cluster: DataFrame, final_edges: DataFrame, geomet
 
 def summary(points: DataFrame, obs: DataFrame, final_edges: DataFrame) -> DataFrame:
     """One row of counts, by one aggregate over each relation."""
-    c = F.col
-    a = points.agg(F.count("*").alias("canonical_points"), F.count_if(c("source_count") > 1).alias("multi_source_points"), F.count_if("completed_transitively").alias("transitive_points"), F.count_if("overture_has_foursquare_provenance").alias("foursquare_derived_points"))
-    b = obs.agg(F.count("*").alias("observations"))
-    e = final_edges.agg(F.count("*").alias("accepted_edges"), F.count_if("same_cluster_final").alias("edges_in_clusters"))
-    return a.join(F.broadcast(b)).join(F.broadcast(e))  # one row each
+    a = obs.agg(F.count("*").alias("observations"))
+    e = final_edges.agg(F.count("*").alias("candidate_links_accepted_by_thresholds"), F.count_if("same_cluster_final").alias("accepted_links_within_final_cluster"))
+    p = points.agg(F.count("*").alias("canonical_pois"), F.count_if("completed_transitively").alias("canonical_pois_completed_transitively"), F.count_if(F.col("source_count") > 1).alias("canonical_pois_of_several_sources"))
+    return a.join(F.broadcast(e)).join(F.broadcast(p))  # one row each
 
 
 def tier_counts(points: DataFrame) -> DataFrame:
