@@ -115,7 +115,7 @@ class Minima:
         """The low bits of all minima in longs."""
         per = 64 // self.plan.bits
         low = minima.astype(np.uint64) & U((1 << self.plan.bits) - 1)
-        low = np.pad(low, ((0, 0), (0, -self.plan.minima % per))).reshape(len(minima), -1, per)
+        low = np.pad(low, ((0, 0), (0, -self.plan.minima % per))).reshape(len(minima), -(-self.plan.minima // per), per)
         return np.bitwise_or.reduce(low << (np.arange(per, dtype=np.uint64) * U(self.plan.bits)), axis=2).view(np.int64)
 
 

@@ -101,7 +101,7 @@ def redacted(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
     Overlapping spans are replaced once. A column n_chars, if there, follows the text.
     """
     keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()), "secret-rows")
-    spans = scan(keyed, text_col, owner_col, repository_col, keep=("__row",)).withColumn("spans", F.filter("spans", lambda s: s["live"])).where(F.size("spans") > 0).select("__row", "spans")
+    spans = scan(keyed, text_col, owner_col, repository_col, keep=("__row",)).withColumn("spans", F.filter("spans", lambda s: s["live"])).where(F.size("spans") > 0).select("__row", F.col("spans").alias("__spans"))
     text = F.col(text_col)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -110,8 +110,8 @@ def redacted(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
         piece = F.when(begins, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), piece.alias("out"))
 
-    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = keyed.join(spans, "__row", "left").withColumn(text_col, F.when(F.col("spans").isNull(), text).otherwise(clean)).drop("__row", "spans")
+    clean = F.aggregate("__spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    out = keyed.join(spans, "__row", "left").withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(clean)).drop("__row", "__spans")
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)).select(docs.columns) if "n_chars" in docs.columns else out.select(docs.columns)
 
 

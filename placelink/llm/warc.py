@@ -228,7 +228,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: Archive) -> Iterator[tuple]:
+    def read(self, partition: Archive | None) -> Iterator[tuple]:
+        if partition is None:  # a folder without archives
+            return
         fs, _ = file_system(self.path)
         with fs.open_input_file(partition.path) as file:
             start = file.read(2)

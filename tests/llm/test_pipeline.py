@@ -1,0 +1,41 @@
+import re
+
+import corpus_pipeline
+
+NEAR = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+
+
+def clean(i):
+    """Sixty words of their own, with function words."""
+    return " ".join(f"{w}{i} the of" for w in NEAR[:20]) + "."
+
+
+def test_stages(spark, folder):
+    rows = [(i, clean(i), "en", f"s{i % 3}", 0) for i in range(200)]
+    rows += [(300 + i, clean(500 + i) + " scumbag", "en", "s", 0) for i in range(60)]
+    rows += [(400, "short", "en", "s", 0), (401, "same five words come again " * 20, "en", "s", 0), (402, None, None, None, None)]
+    rows += [(500 + i, clean(7), "en", "s", 0) for i in range(3)] + [(510, clean(8) + " changed", "en", "s", 0)]
+    rows += [(600, clean(900) + " token = abcdef0123456789 end", "en", "me", 0)]
+    labels = [(i, 1, 0) for i in range(200)] + [(300 + i, 1, 1) for i in range(60)]
+    at = folder(documents=rows, labels=labels)
+    docs = spark.read.parquet(at + "/documents.parquet").selectExpr("*", "7 AS uid", "8 AS spans", "9 AS bucket")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.written(stage(spark, docs, at), name)
+        if name != "packing":
+            assert out.columns == docs.columns
+        docs = seen[name] = out
+    ids = lambda name: {r.doc_id for r in seen[name].collect()}
+    assert ids("toxicity") == {i for i, *_ in rows} - set(range(300, 360))
+    assert ids("quality_rules") == ids("toxicity") - {400, 401, 402}
+    assert ids("near_duplicates") == ids("quality_rules") - {500, 501, 502, 510}
+    text = {r.doc_id: r.text for r in seen["secrets"].collect()}
+    assert text[600].endswith(" [SECRET] end") and text[3] == clean(3) and len(text) == len(ids("near_duplicates"))
+    packed = seen["packing"].collect()
+    assert {r.doc_id for r in packed} == set(text) and all(r.length <= 1024 for r in packed)
+    assert not any(re.search("localCheckpoint", open(f).read()) for f in (corpus_pipeline.__file__,))
+
+
+def test_empty_tables(spark, folder):
+    at = folder(documents=[], labels=[])
+    assert corpus_pipeline.run(spark, at).count() == 0
