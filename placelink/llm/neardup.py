@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import table, written
+from .storage import dropped, table, written
 from .textcore import Words, distinct_in, mixed, slices, texts
 
 U = np.uint64
@@ -234,8 +234,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
 
     rest = still_open(forest, weighed)
     heaviest = Window.partitionBy("bucket").orderBy(F.desc("w"), "id")  # limited before the shuffle, CENTRES rows a bucket and task
-    centres = written(rest.withColumn("k", F.row_number().over(heaviest)).where(F.col("k") <= CENTRES).drop("k"), "centres")
-    second = confirmed(likely_links(rest, centres, F.col("id_a") != F.col("id_b")), docs, plan, id_col, text_col)
+    heavy = written(rest.withColumn("k", F.row_number().over(heaviest)).where(F.col("k") <= CENTRES).drop("k"), "heavy")
+    second = confirmed(likely_links(rest, heavy, F.col("id_a") != F.col("id_b")), docs, plan, id_col, text_col)
     links = first.union(second)
     rest = still_open(components(links), rest)
     first_band = F.coalesce(*[F.when(F.get("buckets_a", F.lit(i)) == F.get("buckets_b", F.lit(i)), F.lit(i)) for i in range(plan.bands)])
@@ -243,6 +243,7 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
     roots = components(links.union(third))
 
     settled = written(classes.select("k1", "k2", "id").join(roots, F.col("id") == F.col("v"), "left").select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), F.coalesce("root", "id").alias("component_id")), "class-components")
+    dropped(docs.sparkSession, classes, shared, grouped, weights, weighed, centres, scored, first, second, third, rest)
     joined = linked.select("id", "n", "k1", "k2").join(settled, (F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2"))).select("id", "n", "component_id")
     alone = rows.where(F.col("id").isNull() | (F.col("n") == 0)).select("id", "n", F.col("id").alias("component_id"))
     return joined.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
