@@ -1,20 +1,29 @@
-"""Token ids of whole texts for packing and for the token files: those of the tokenizers library, special strings included.
-
-A byte-level BPE vocabulary runs through tiktoken's core on the same merges (three times the speed); whatever that core
-refuses goes to the tokenizers library itself, and each partition's first texts are encoded by both and compared, so a
-difference ends the job instead of passing unseen. Any other vocabulary is encoded by the tokenizers library alone.
+"""Token ids of whole texts for packing and for the token files, by the tokenizers library, special strings included.
+
+Where a byte-level BPE vocabulary cuts a text before merging depends on nothing in front of a cut. So a text may be parted
+at any such cut, and the ids of the parts, one after another, are the text's ids. ``PART`` parts at cuts that no rule can
+move: before white space, and between a run of letters and digits and one of signs; what follows an apostrophe is never parted.
+The library encodes each different part once and its ids are kept for the next texts of the process (``KEPT`` parts of at most
+``LONG`` characters, then it starts anew); longer parts are encoded each time. Texts with a special string or an information
+separator, other kinds of vocabulary and rules that reach over cuts get whole calls.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 
-#: Texts of a partition that both libraries encode.
-COMPARED = 4
+#: Parts whose ids are kept in a process, and their longest length in characters: some 100 MB, 250 at most.
+KEPT = 1 << 19
+LONG = 64
+
+#: White space in Python's patterns, signs in the library's.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+PART = re.compile(r"\s*[^\W_]+(?:'\S*)?|\s*(?:[^\w\s']|_)+(?:'\S*)?|\s*'\S*|\s+")
 
 
 @lru_cache(maxsize=2)
@@ -29,47 +38,55 @@ def _library(vocabulary: str):
 
 
 @lru_cache(maxsize=2)
-def _fast(vocabulary: str):
+def _parts_apart(vocabulary: str) -> bool:
+    """Whether texts may be parted."""
     spec = json.loads(vocabulary)
-    pre = spec.get("pre_tokenizer") or {}
-    added = spec.get("added_tokens", [])
-    if spec["model"]["type"] != "BPE" or spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
-        return None
-    if any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
-        return None
-    import tiktoken
+    pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    if model["type"] != "BPE" or model.get("dropout") or spec.get("normalizer"):
+        return False
+    if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        return False
+    return not any(x["single_word"] or x["lstrip"] or x["rstrip"] or x.get("normalized") for x in spec.get("added_tokens", []))
+
+
+class Kept(dict):
+    """The ids of parts as little-endian 32-bit numbers."""
+
+    def __init__(self, library):
+        super().__init__()
+        self.library = library
+
+    def __missing__(self, part: str) -> bytes:
+        ids = np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(part) <= LONG:
+            if len(self) >= KEPT:
+                self.clear()
+            self[part] = ids
+        return ids
 
-    from .bpe import byte_letters
 
-    letters, special = byte_letters(), {x["content"]: x["id"] for x in added}
-    ranks = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    return tiktoken.Encoding("shared", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+@lru_cache(maxsize=2)
+def _kept(vocabulary: str) -> Kept:
+    return Kept(_library(vocabulary))
 
 
 class TokenIds:
     def __init__(self, vocabulary: str):
-        self.library, self.fast, self.compared = _library(vocabulary), _fast(vocabulary), 0
+        self.library, self.kept = _library(vocabulary), _kept(vocabulary)
+        self.apart = _parts_apart(vocabulary)
+        self.never = [x["content"] for x in json.loads(vocabulary).get("added_tokens", [])] + list(SEPARATORS)
 
-    def slow(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+    def whole(self, text: str) -> np.ndarray:
+        """A text's ids from one call of the library."""
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
     def __call__(self, text: str | None, end: int | None = None) -> np.ndarray:
         """uint32 ids of a text (null: none), then ``end`` if given."""
-        ids = self._ids(text) if text else np.zeros(0, np.uint32)
-        return ids if end is None else np.append(ids, np.uint32(end))
-
-    def _ids(self, text: str) -> np.ndarray:
-        if self.fast is None:
-            return self.slow(text)
-        try:
-            ids = self.fast.encode_to_numpy(text, allowed_special="all").astype(np.uint32)
-        except (KeyboardInterrupt, SystemExit, MemoryError):
-            raise
-        except BaseException:  # its core panics on a few texts, such as very long runs of blanks; the library does not
-            return self.slow(text)
-        if self.compared < COMPARED:
-            self.compared += 1
-            if not np.array_equal(ids, self.slow(text)):
-                raise RuntimeError("the two tokenizer libraries disagree on a text")
-        return ids
+        tail = [] if end is None else [np.array(end, "<u4").tobytes()]
+        if not text:
+            parts = []
+        elif self.apart and not any(x in text for x in self.never):
+            parts = list(map(self.kept.__getitem__, PART.findall(text)))
+        else:
+            parts = [self.whole(text).tobytes()]
+        return np.frombuffer(b"".join(parts + tail), "<u4")

@@ -214,3 +214,16 @@ def test_secrets_by_brute_force(spark, folder, odd_docs):
     assert clean[300].text == "own [SECRET] end" and clean[300].n_chars == 16 and clean[200].text.endswith("c" * 20) and clean[1].text is None and clean[1].spans == 1
     assert "hunter2" not in clean[100].text
     assert secret_scan.op8_secrets(spark, folder(documents=[])).count() == 0
+
+
+def test_parts_have_the_ids_of_whole_texts():
+    from placelink.llm.tokens import KEPT, LONG, TokenIds
+
+    encode = TokenIds(bpe.read_vocabulary(bpe.default_vocabulary()))
+    assert encode.apart and KEPT > 0
+    pieces = [" ", "  ", "a", "b", "'s", "'", "1", "22", ".", ",", "_", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", " ", "é", "é", "漢字", "<|endoftext|>", "<|endof", "text|>", "😀", "​", "²", "ⅷ", "x" * (LONG + 1)]
+    random = np.random.default_rng(3)
+    for _ in range(3000):
+        text = "".join(pieces[i] for i in random.integers(0, len(pieces), random.integers(1, 14)))
+        assert encode(text).tolist() == encode.whole(text).tolist(), repr(text)
+    assert encode(None, 2).tolist() == encode("", 2).tolist() == [2] and len(encode(None)) == 0
