@@ -30,6 +30,7 @@ class Table:
         self.ids, self.freq = ids, freq
         self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         self._slots: np.ndarray | None = None
+        self._places: np.ndarray | None = None
 
     @classmethod
     def of(cls, tokens: np.ndarray) -> Table:
@@ -54,6 +55,14 @@ class Table:
             over -= int(take.sum())
         return cls(ids, freq)
 
+    @property
+    def places(self) -> np.ndarray:
+        """The place in ``ids`` of each id up to the largest."""
+        if self._places is None:
+            self._places = np.zeros(int(self.ids[-1]) + 1 if len(self.ids) else 0, np.int32)
+            self._places[self.ids] = np.arange(len(self.ids), dtype=np.int32)
+        return self._places
+
     @property
     def slots(self) -> np.ndarray:
         if self._slots is None:
@@ -73,7 +82,7 @@ class Table:
 
 def encode_block(tokens: np.ndarray, table: Table) -> bytes:
     n = len(tokens)
-    symbol = np.searchsorted(table.ids, tokens)
+    symbol = table.places[tokens]
     freq, start = table.freq.astype(np.uint64)[symbol], table.start[symbol]
     lanes = min(n, LANES)
     rows = -(-n // LANES)
