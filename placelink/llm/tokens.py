@@ -13,12 +13,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 
-#: Parts whose ids are kept in a process, and their longest length in characters: some 100 MB, 250 at most.
-KEPT = 1 << 19
+#: Parts whose ids are kept in a process, and their longest length in characters: some 200 MB, 500 at most.
+KEPT = 1 << 20
 LONG = 64
 
 #: White space in Python's patterns, signs in the library's.
@@ -38,9 +39,13 @@ def _library(vocabulary: str):
 
 
 @lru_cache(maxsize=2)
-def _parts_apart(vocabulary: str) -> bool:
-    """Whether texts may be parted."""
+def _rules(vocabulary: str) -> tuple[bool, list[str]]:
+    """Whether texts may be parted, and what a text that may must not hold."""
     spec = json.loads(vocabulary)
+    return _parts_apart(spec), [x["content"] for x in spec.get("added_tokens", [])] + list(SEPARATORS)
+
+
+def _parts_apart(spec: dict) -> bool:
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
     if model["type"] != "BPE" or model.get("dropout") or spec.get("normalizer"):
         return False
@@ -49,6 +54,10 @@ def _parts_apart(vocabulary: str) -> bool:
     return not any(x["single_word"] or x["lstrip"] or x["rstrip"] or x.get("normalized") for x in spec.get("added_tokens", []))
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Kept(dict):
     """The ids of parts as little-endian 32-bit numbers."""
 
@@ -57,7 +66,7 @@ class Kept(dict):
         self.library = library
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = pack(self.library.encode(part, add_special_tokens=False).ids)
         if len(part) <= LONG:
             if len(self) >= KEPT:
                 self.clear()
@@ -73,8 +82,7 @@ def _kept(vocabulary: str) -> Kept:
 class TokenIds:
     def __init__(self, vocabulary: str):
         self.library, self.kept = _library(vocabulary), _kept(vocabulary)
-        self.apart = _parts_apart(vocabulary)
-        self.never = [x["content"] for x in json.loads(vocabulary).get("added_tokens", [])] + list(SEPARATORS)
+        self.apart, self.never = _rules(vocabulary)
 
     def whole(self, text: str) -> np.ndarray:
         """A text's ids from one call of the library."""
@@ -88,5 +96,5 @@ class TokenIds:
         elif self.apart and not any(x in text for x in self.never):
             parts = list(map(self.kept.__getitem__, PART.findall(text)))
         else:
-            parts = [self.whole(text).tobytes()]
+            parts = [pack(self.library.encode(text, add_special_tokens=False).ids)]
         return np.frombuffer(b"".join(parts + tail), "<u4")
