@@ -1,7 +1,7 @@
 """Operator 9, near-duplicates by b-bit MinHash.
 
 1. One pass over the texts: per row the size of its shingle set, a 128-bit key of the set, a bucket for each band of minima,
-   and the low ``BIT`` bits of all minima packed into longs.
+   and a few mixed bits of all minima packed into longs.
 2. Rows with equal sets form a class at once (map-side combine), so groups of copies cost one row each from here on.
 3. In each bucket every member is paired with one centre only (a star, no pair of any two members), the member whose
    buckets hold most rows in all: among edited copies that is the text nearest to what they have in common. Packed
@@ -46,7 +46,7 @@ BROADCAST_IDS = 1_000_000
 
 @dataclass(frozen=True)
 class Plan:
-    """words in a shingle, percent of the union that links, minima per band, low bits kept of each minimum, least number of minima for the estimate."""
+    """words in a shingle, percent of the union that links, minima per band, bits kept of each minimum, least number of minima for the estimate."""
 
     shingle: int = 5
     percent: int = 80
@@ -112,11 +112,17 @@ class Minima:
         return h.view(np.int64)
 
     def packed(self, minima: np.ndarray) -> np.ndarray:
-        """The low bits of all minima in longs."""
+        """``bits`` bits of each minimum in longs. The minima's own low bits depend on nothing but those of the keys, so each function mixes its own: by chance unequal minima then agree in each apart."""
         per = 64 // self.plan.bits
-        low = minima.astype(np.uint64) & U((1 << self.plan.bits) - 1)
-        low = np.pad(low, ((0, 0), (0, -self.plan.minima % per))).reshape(len(minima), -(-self.plan.minima // per), per)
-        return np.bitwise_or.reduce(low << (np.arange(per, dtype=np.uint64) * U(self.plan.bits)), axis=2).view(np.int64)
+        longs = -(-self.plan.minima // per)
+        own = np.arange(1, self.plan.minima + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15)
+        place = np.arange(per, dtype=np.uint64) * U(self.plan.bits)
+        out = np.empty((len(minima), longs), np.uint64)
+        for at in range(0, len(minima), 256):  # what is held at once stays small
+            low = mixed(minima[at : at + 256].astype(np.uint64) ^ own) >> U(64 - self.plan.bits)
+            low = np.pad(low, ((0, 0), (0, -self.plan.minima % per))).reshape(len(low), longs, per)
+            out[at : at + 256] = np.bitwise_or.reduce(low << place, axis=2)
+        return out.view(np.int64)
 
 
 def signatures(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
@@ -144,7 +150,7 @@ def signatures(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataF
 
 
 def estimate(a: Column, b: Column, plan: Plan) -> Column:
-    """Similarity from packed low bits, corrected for the chance that unequal minima agree in them."""
+    """Similarity from packed bits, corrected for the chance that unequal minima agree in them."""
     longs = -(-plan.minima // (64 // plan.bits))
     ones = int("".join("0" * (plan.bits - 1) + "1" for _ in range(64 // plan.bits)), 2)
     differ = F.lit(0)

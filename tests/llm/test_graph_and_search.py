@@ -58,6 +58,19 @@ def test_near_duplicates_by_brute_force(spark, folder, size, percent):
     assert got == brute_components(rows, size, percent)
 
 
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates_of_short_texts_by_brute_force(spark, folder, size, percent):
+    """Texts of 8 to 20 words and the same with 1 to 4 words more: with 5 and 80 all pairs lie at the threshold."""
+    rows = []
+    for k in range(160):
+        n, e = ((8, 1), (12, 2), (16, 3), (20, 4))[k % 4]
+        words = [f"w{k}x{i}" for i in range(n)]
+        rows += [(2 * k, " ".join(words), "en", "s", 0), (2 * k + 1, " ".join(words + [f"e{k}x{i}" for i in range(e)]), "en", "s", 0)]
+    docs = spark.read.parquet(folder(documents=rows) + "/documents.parquet")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, neardup.Plan(shingle=size, percent=percent)).collect()}
+    assert got == brute_components(rows, size, percent)
+
+
 def test_near_duplicates_odd_rows(spark, folder, odd_docs):
     docs = spark.read.parquet(folder(documents=odd_docs) + "/documents.parquet").selectExpr("*", "1 AS id", "2 AS bucket", "3 AS component_id")
     out = neardup.one_of_each(docs)
