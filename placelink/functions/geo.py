@@ -34,6 +34,16 @@ def wkb_point(lon: Column, lat: Column) -> Column:
     return F.pandas_udf(run, "binary")(lon, lat)
 
 
+def point_of_wkb(value: Column) -> Column:
+    """struct(lon, lat) as a point's bytes hold them; nulls for bytes that are no point."""
+
+    def run(x: pd.Series) -> pd.DataFrame:
+        found = [struct.unpack("<bIdd", w) if w is not None and len(w) == 21 else (0, 0, None, None) for w in x]
+        return pd.DataFrame([f[2:] if f[:2] == (1, 1) else (None, None) for f in found], columns=["lon", "lat"], dtype=float)
+
+    return F.pandas_udf(run, "lon double, lat double")(value)
+
+
 def on_land(points: DataFrame, edges: DataFrame, tolerance: float, key: str = "point_id") -> DataFrame:
     """Points inside the polygons, or within ``tolerance`` degrees (planar) of an edge.
 

@@ -491,9 +491,10 @@ def foursquare_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query("wkb_points", _with(select="SELECT source_id, 21::BIGINT AS size, true AS same FROM obs"))
 def wkb_points(spark: SparkSession, d: str) -> DataFrame:
-    """The bytes of a point hold its coordinates: read back by the last 16 bytes' length and the header."""
-    df = fixture.observations(spark, d).select("source_id", geo.wkb_point(c("lon"), c("lat")).alias("w"))
-    return df.select("source_id", F.length("w").cast("long").alias("size"), (F.hex(F.substring("w", 1, 5)) == "0101000000").alias("same"))
+    """The bytes of a point hold its coordinates: ``same`` where the header is a point's and both coordinates, read back, are the row's."""
+    df = fixture.observations(spark, d).select("source_id", "lon", "lat", geo.wkb_point(c("lon"), c("lat")).alias("w")).withColumn("p", geo.point_of_wkb(c("w")))
+    same = (F.hex(F.substring("w", 1, 5)) == "0101000000") & c("p.lon").eqNullSafe(c("lon")) & c("p.lat").eqNullSafe(c("lat"))
+    return df.select("source_id", F.length("w").cast("long").alias("size"), same.alias("same"))
 
 
 def queries() -> dict[str, Query]:

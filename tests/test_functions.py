@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from placelink.functions import geo, licence, similarity, text
 from placelink.operators import match
+from placelink.plans import catalogue
 
+SF = "/root/testdata/sf0.001"
 NAMES = ["José's Café & Grill", "Niño's Carinderia", "7‑Eleven", "Ångström", "İloilo Supermart", "ＳＭ Ｍａｌｌ", "ﬁesta mart", "Straße 7", "K² Studio", "新光 Shin Kong", "", "  ", None]
 
 
@@ -90,6 +92,14 @@ def test_wkb_and_land(spark):
     assert {r.point_id for r in geo.on_land(points, edges, 0.002).collect()} == {"in", "coast", "corner"}
 
 
+def test_wkb_query_reads_every_coordinate(spark, monkeypatch):
+    assert catalogue.wkb_points(spark, SF).where("NOT same OR same IS NULL").isEmpty()
+    right = geo.wkb_point
+    for wrong in (lambda lon, lat: right(lat, lon), lambda lon, lat: right(lon, lat + 1e-9)):
+        monkeypatch.setattr(geo, "wkb_point", wrong)
+        assert catalogue.wkb_points(spark, SF).where("same").isEmpty()
+
+
 def test_surface_point():
     x, y = geo.surface_point([[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(1, 1), (3, 1), (3, 3), (1, 3), (1, 1)]])
     assert 0 < x < 4 and 0 < y < 4 and not (1 < x < 3 and 1 < y < 3)
