@@ -256,14 +256,22 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id"
 
 
 def one_of_each(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that a smaller id stands for, and without repetitions of a kept id. Rows with a null id stay."""
-    found = near_duplicates(docs, plan, id_col, text_col)
-    goes = written(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "duplicates")
-    out = docs.join(F.broadcast(goes) if goes.count() <= BROADCAST_IDS else goes, F.col(id_col) == F.col("__gone"), "left_anti")
-    named = docs.where(F.col(id_col).isNotNull())
-    if named.groupBy(id_col).count().where("count > 1").isEmpty():
-        return out
-    return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
+    """``docs`` without the rows that a row of a smaller id stands for. Rows of one id are rows apart, of which only equal and near-equal texts go. Rows with a null id stay."""
+
+    def without(rows: DataFrame, key: str, goes: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(goes) if goes.count() <= BROADCAST_IDS else goes, F.col(key) == F.col("__gone"), "left_anti")
+
+    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        found = near_duplicates(docs, plan, id_col, text_col)
+        return without(docs, id_col, written(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")), "duplicates"))
+    keyed = written(docs.withColumn("__row", F.when(F.col(id_col).isNotNull(), F.monotonically_increasing_id())), "keyed-rows")
+    found = written(near_duplicates(keyed, plan, "__row", text_col).where(F.col("__row").isNotNull()), "row-components")
+    ids = keyed.select(F.col("__row").alias("__key"), F.col(id_col).alias("__id"), F.sha2(F.col(text_col).cast("binary"), 256).alias("__sha"))
+    bare = F.col("n_shingles") == 0  # texts without words are linked with nothing: of those only the same text of the same id goes
+    group = [F.when(~bare, F.col("component_id")).alias("c"), F.when(bare, F.col("__id")).alias("i"), F.when(bare, F.col("__sha")).alias("s")]
+    kept = found.join(ids, F.col("__row") == F.col("__key")).groupBy(*group).agg(F.min(F.struct("__id", "__row"))["__row"].alias("__kept"))
+    goes = found.join(kept, F.col("__row") == F.col("__kept"), "left_anti").select(F.col("__row").alias("__gone"))
+    return without(keyed, "__row", written(goes, "duplicates")).drop("__row")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

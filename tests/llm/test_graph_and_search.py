@@ -80,6 +80,17 @@ def test_near_duplicates_odd_rows(spark, folder, odd_docs):
     assert neardup.op9_near_duplicates(spark, folder(documents=[])).count() == 0
 
 
+def test_one_of_each_tells_rows_of_one_id_apart(spark, folder):
+    a, b, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abd")
+    stay = [(7, b), (3, a), (9, d), (5, "said twice"), (2, ""), (2, "a text of the same id"), (2, None), (None, a), (None, a)]
+    go = [(7, a), (9, a + " more"), (9, b), (5, "said  twice"), (2, "")]
+    docs = spark.read.parquet(folder(documents=[(i, t, "en", "s", 0) for i, t in go + stay]) + "/documents.parquet")
+    out = neardup.one_of_each(docs)
+    assert out.columns == docs.columns
+    said = lambda rows: sorted((i or 0, " ".join((t or "null").split())) for i, t in rows)
+    assert said((r.doc_id, r.text) for r in out.collect()) == said(stay)
+
+
 def test_estimate_follows_similarity(spark):
     import pyarrow as pa
 
