@@ -145,6 +145,24 @@ def name_tokens(spark: SparkSession, d: str) -> DataFrame:
     return _heads(spark, d).select("doc_id", text.sorted_tokens(text.normalized(c("name"))).alias("name_tokens"))
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", c("text").alias("name"))
+
+
+_TEXTS = "SELECT doc_id, text AS name FROM documents"
+
+
+@query("norm_texts", f"SELECT doc_id, {_NORM} AS text_norm FROM ({_TEXTS})")
+def norm_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts; ``norm_names`` has their first three words, as its SQL."""
+    return _texts(spark, d).select("doc_id", text.normalized(c("name")).alias("text_norm"))
+
+
+@query("text_tokens", f"SELECT doc_id, array_to_string(list_sort(string_split({_NORM}, ' ')), ' ') AS text_tokens FROM ({_TEXTS})")
+def text_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return _texts(spark, d).select("doc_id", text.sorted_tokens(text.normalized(c("name"))).alias("text_tokens"))
+
+
 @query("datasets_extract", _with(select=f"SELECT source_id, {_DATASETS.format(p='provenance')} AS datasets FROM obs"))
 def datasets_extract(spark: SparkSession, d: str) -> DataFrame:
     return fixture.observations(spark, d).select("source_id", licence.datasets(c("provenance")).alias("datasets"))

@@ -92,6 +92,14 @@ def test_wkb_and_land(spark):
     assert {r.point_id for r in geo.on_land(points, edges, 0.002).collect()} == {"in", "coast", "corner"}
 
 
+def test_whole_texts_are_normalized(spark):
+    docs = {r.doc_id: text.normalized_text(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert {r.doc_id: r.text_norm for r in catalogue.norm_texts(spark, SF).collect()} == docs
+    tokens = {i: None if t is None else " ".join(sorted(t.split(" "))) for i, t in docs.items()}
+    assert {r.doc_id: r.text_tokens for r in catalogue.text_tokens(spark, SF).collect()} == tokens
+    assert max(len(t.split()) for t in docs.values() if t) > 1000
+
+
 def test_wkb_query_reads_every_coordinate(spark, monkeypatch):
     assert catalogue.wkb_points(spark, SF).where("NOT same OR same IS NULL").isEmpty()
     right = geo.wkb_point
