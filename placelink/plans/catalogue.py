@@ -480,8 +480,22 @@ _RING_SQL = "e AS (SELECT * FROM (VALUES " + ", ".join(f"({a[0]}::DOUBLE, {a[1]}
   min(pow(lon - (x1 + least(1.0, greatest(0.0, ((lon - x1) * (x2 - x1) + (lat - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)))) * (x2 - x1)), 2) + pow(lat - (y1 + least(1.0, greatest(0.0, ((lon - x1) * (x2 - x1) + (lat - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)))) * (y2 - y1)), 2)) <= 0.002::DOUBLE * 0.002::DOUBLE AS near
   FROM obs, e WHERE code = 2 GROUP BY source_id)""", select="SELECT source_id FROM hits WHERE inside OR near"))
 def land_clip(spark: SparkSession, d: str) -> DataFrame:
+    return geo.on_land(fixture.observations(spark, d, ("overture",)), _ring_edges(spark), places.LAND_TOLERANCE, "source_id").select("source_id")
+
+
+def _ring_edges(spark: SparkSession) -> DataFrame:
     rings = spark.createDataFrame([("r", [{"x": x, "y": y} for x, y in _RING])], "ring_id string, points array<struct<x: double, y: double>>")
-    return geo.on_land(fixture.observations(spark, d, ("overture",)), places.boundary_edges(rings), places.LAND_TOLERANCE, "source_id").select("source_id")
+    return places.boundary_edges(rings)
+
+
+@query("tile_mask_land", _with(_RING_SQL, """tl AS (SELECT DISTINCT floor(lon / 0.25)::INTEGER AS tile_x, floor(lat / 0.25)::INTEGER AS tile_y FROM obs),
+met AS (SELECT tile_x, tile_y, bool_or(least(x1, x2) < (tile_x + 1) * 0.25::DOUBLE AND greatest(x1, x2) > tile_x * 0.25::DOUBLE AND least(y1, y2) < (tile_y + 1) * 0.25::DOUBLE AND greatest(y1, y2) > tile_y * 0.25::DOUBLE) AS touched,
+  sum(CASE WHEN ((y1 > (tile_y + 0.5::DOUBLE) * 0.25::DOUBLE) <> (y2 > (tile_y + 0.5::DOUBLE) * 0.25::DOUBLE)) AND (tile_x + 0.5::DOUBLE) * 0.25::DOUBLE < x1 + ((tile_y + 0.5::DOUBLE) * 0.25::DOUBLE - y1) / (y2 - y1) * (x2 - x1) THEN 1 ELSE 0 END) % 2 = 1 AS inside
+  FROM tl, e GROUP BY ALL)""", select="SELECT tile_x, tile_y FROM met WHERE touched OR inside"))
+def tile_mask_land(spark: SparkSession, d: str) -> DataFrame:
+    """The boundary's mask over the tiles of all observations; ``tile_mask_distinct`` has the western tiles, as its SQL."""
+    found = obs_tiles(spark, d).select("tile_x", "tile_y").distinct().collect()  # an area's tile list
+    return places.tiles_on_land(spark, [Tile(r.tile_y, r.tile_x, 0.25) for r in found], _ring_edges(spark))
 
 
 @query("overture_category_coalesce", "SELECT p_partkey AS id, coalesce(CASE WHEN p_partkey % 2 = 0 THEN lower(p_type) END, CASE WHEN p_partkey % 3 = 0 THEN lower(p_brand) END, lower(p_name)) AS category FROM part WHERE p_partkey % 5 <> 0")

@@ -108,6 +108,11 @@ def test_edges_survive_tile_and_cell_borders(spark):
         assert got == want and want
 
 
+def test_tile_mask_reaches_beyond_the_western_half(spark):
+    got = {(r.tile_x, r.tile_y) for r in __spark_entry__.queries()["tile_mask_land"](spark, SF).collect()}
+    assert (482, 56) in got and (483, 59) not in got and (480, 59) not in got
+
+
 def test_report(spark):
     schema = "canonical_id string, canonical_name string, lon double, lat double, source_count int, evidence_tier string, fsq_id string, osm_id string"
     scope = Scope("x", ((120.0, 14.0, 121.0, 15.0),))
