@@ -44,6 +44,14 @@ def dropped(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` is called so (Spark does not tell cases apart)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

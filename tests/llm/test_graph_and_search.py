@@ -72,7 +72,7 @@ def test_near_duplicates_of_short_texts_by_brute_force(spark, folder, size, perc
 
 
 def test_near_duplicates_odd_rows(spark, folder, odd_docs):
-    docs = spark.read.parquet(folder(documents=odd_docs) + "/documents.parquet").selectExpr("*", "1 AS id", "2 AS bucket", "3 AS component_id")
+    docs = spark.read.parquet(folder(documents=odd_docs) + "/documents.parquet").selectExpr("*", "1 AS id", "2 AS bucket", "3 AS component_id", "4 AS __gone", "5 AS __row", "6 AS n_shingles")
     out = neardup.one_of_each(docs)
     assert out.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
@@ -91,6 +91,75 @@ def test_one_of_each_tells_rows_of_one_id_apart(spark, folder):
     assert said((r.doc_id, r.text) for r in out.collect()) == said(stay)
 
 
+def edited_copies(n=260, length=90, seed=4):
+    """One large group: copies with edits from few to so many that they fall below the threshold, one part joined only by a bridge."""
+    r = np.random.default_rng(seed)
+    base = [f"b{i}" for i in range(length)]
+    rows = []
+    for k in range(n):
+        words = list(base)
+        for p in r.choice(length, int(r.integers(0, 9)), replace=False):
+            words[p] = f"e{r.integers(0, 40)}"
+        rows.append((k, " ".join(words), "en", "hot", 0))
+    return rows
+
+
+def test_large_group_of_edited_copies_stays_in_proportion(spark, folder, monkeypatch, size=5, percent=80):
+    rows = edited_copies()
+    plan = neardup.Plan(shingle=size, percent=percent)
+    made = {}
+    write = neardup.written
+
+    def counted(df, name, *more):
+        out = write(df, name, *more)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "written", counted)
+    docs = spark.read.parquet(folder(documents=rows) + "/documents.parquet")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, plan).collect()}
+    assert got == brute_components(rows, size, percent)
+    assert len({c for _, c in got.values()}) > 20  # many that no centre links
+    each = max(n for n, _ in got.values())
+    assert all(made[n] <= neardup.CENTRES * len(rows) for n in ("likely", "pairs", "links", "open-ids", "supported")), made
+    assert all(made[n] <= plan.bands * len(rows) for n in ("grouped", "open-members")) and made.get("open-shingles", 0) <= each * len(rows)
+
+
+def test_exact_end_by_brute_force(monkeypatch, spark):
+    """Links across components come out whatever the blocks, and connect what brute force connects."""
+    r = np.random.default_rng(9)
+    base = r.integers(-(2**62), 2**62, 200)
+    rows, sets = [], {}
+    for i in range(120):
+        keep = base[r.random(200) < (0.97 if i % 3 else 0.85)]
+        sets[i] = set(keep.tolist()) | set(r.integers(-(2**62), 2**62, int(r.integers(0, 20))).tolist())
+        rows.append((i, i if i % 4 else 0, len(sets[i]), np.array(sorted(sets[i], key=lambda x: x % 2**64), np.int64).tobytes()))
+    frame = spark.createDataFrame(rows, "id long, c long, n long, s binary")
+    plan = neardup.Plan(percent=80)
+    monkeypatch.setattr(neardup, "BLOCK_KEYS", 2000)
+    able = neardup.supported(frame.select("id", "c", "n"), frame.select("id", "s"), plan)
+    links = neardup.across(able, spark.createDataFrame([(i, 0) for i in range(1, 120)], "v long, root long"), plan).collect()
+    near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    assert links and all(near(x.a, x.b) and rows[x.a][1] != rows[x.b][1] for x in links)
+
+    def roots(pairs):
+        root = list(range(120))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in [*pairs, *[(0, i) for i in range(0, 120, 4)]]:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+        return [find(x) for x in range(120)]
+
+    assert roots([(x.a, x.b) for x in links]) == roots([(a, b) for a in range(120) for b in range(a) if near(a, b)])
+    blocks = [(np.array([k]), np.array([k]), np.array([3]), np.array(v), np.zeros(3, int)) for k, v in enumerate(([1, 2, 9], [2, 9, 11]))]
+    assert neardup.in_common(*blocks, width=1).tolist() == [[2.0]]
+
+
 def test_estimate_follows_similarity(spark):
     import pyarrow as pa
 
