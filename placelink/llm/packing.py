@@ -2,12 +2,14 @@
 
 A document's ids are cut only beyond the capacity; whole-capacity pieces fill a sequence each, so what is packed are
 rests shorter than it. They are dealt at random into demes of about ``DEME`` pieces. ``ISLANDS`` islands evolve each deme
-apart: an individual is a grouping; crossover injects the well-filled bins of one parent into the other, removes the
-bins that hold an injected piece a second time, and best-fits the displaced pieces in decreasing order. Then each
-island's elite migrates to the next island, which evolves on, and the best grouping stands. Badly filled bins
-are opened again and their pieces packed anew across demes, ``ROUNDS`` times.
+apart: an individual is a grouping, the first ones by best fit with more and more noise. Crossover injects some of the
+best-filled bins of one parent into the other, removes the bins that hold an injected piece a second time and a few of the
+worst, exchanges displaced pieces with smaller ones of bins that have room, and best-fits the rest in decreasing
+order. After ``GENERATIONS`` children each island's elite migrates to the next island, ``EPOCHS`` - 1 times; then the best
+grouping stands. A deme whose elite reaches the lower bound does not evolve further. Badly filled bins are opened
+again and their pieces packed anew across demes, ``ROUNDS`` times.
 
-A task holds one island (a fixed number of 16-byte rows); neither texts nor ids are shuffled.
+A task holds one island, at first a fixed number of 16-byte rows, then one row; neither texts nor ids are shuffled.
 
 Defined cases: a null or empty text is the end id alone; null ids and repeated rows are pieces as any other (a row's key
 is its own, not the id); an empty table gives no rows; other columns are not read.
@@ -16,6 +18,7 @@ is its own, not the id); an empty table gives no rows; other columns are not rea
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import default_vocabulary, read_vocabulary
-from .storage import table, written
+from .storage import table, unused, written
 from .textcore import slices
 from .tokens import TokenIds
 
@@ -32,11 +35,15 @@ CAPACITY = 1024
 END = 2
 DEME = 4096
 ISLANDS = 2
-POPULATION = 4
-GENERATIONS = 8
+POPULATION = 8
+#: Children of an island from one migration to the next, and rounds of them.
+GENERATIONS = 64
+EPOCHS = 3
 ROUNDS = 2
-#: A bin this full is worth handing down whole; one below REOPEN of the capacity is packed anew across demes.
-WELL_FILLED = 0.998
+#: The largest share of the donor's bins that a crossover injects, and the pieces that it tries to exchange.
+SECTION = 0.05
+EXCHANGES = 1024
+#: A bin below this share of the capacity is packed anew across demes.
 REOPEN = 0.97
 
 
@@ -120,40 +127,79 @@ class Genes:
         fill = self.fill(group)
         return -int(np.count_nonzero(fill)), float(np.sum((fill / self.capacity) ** 2))
 
+    def least(self) -> int:
+        """A lower bound of the bins: for a limit k, pieces over capacity - k share with none of at least k, and those over half not with one another."""
+        size, half = np.sort(self.size), self.capacity // 2
+        total = np.concatenate([[0], np.cumsum(size)])
+        below = lambda x: np.searchsorted(size, x, "left")
+        over = np.searchsorted(size, half, "right")
+        k = np.unique(np.concatenate([[0], size[:over]]))
+        large = np.searchsorted(size, self.capacity - k, "right")
+        middle = large - over
+        spare = middle * self.capacity - (total[large] - total[over])
+        return int(np.max(len(size) - large + middle + np.maximum(0, -(-(total[over] - total[below(k)] - spare) // self.capacity))))
+
+    def exchange(self, group: np.ndarray, loose: np.ndarray) -> np.ndarray:
+        """Swaps a displaced piece for a smaller one of a bin with room, where that fills the bin better. The displaced pieces after that."""
+        held = np.flatnonzero(group >= 0)
+        room = self.capacity - np.bincount(group[held], self.size[held])
+        tight = held[room[group[held]] > 0]
+        if not len(tight) or not len(loose):
+            return loose
+        tight = self.random.permutation(tight)[:EXCHANGES]
+        loose = loose[np.argsort(self.size[loose], kind="stable")].tolist()
+        sizes = self.size[loose].tolist()
+        at = group[tight].tolist()
+        own = self.size[tight].tolist()
+        for item, b, s in zip(tight.tolist(), at, own, strict=True):
+            k = bisect_right(sizes, s + room[b]) - 1
+            if k >= 0 and sizes[k] > s:
+                group[item], group[loose[k]] = -1, b
+                room[b] -= sizes[k] - s
+                del loose[k], sizes[k]
+                k = bisect_left(sizes, s)
+                sizes.insert(k, s)
+                loose.insert(k, item)
+        return np.array(loose, np.int64)
+
     def crossover(self, into: np.ndarray, donor: np.ndarray) -> np.ndarray:
+        """``into`` with a section of the donor's best-filled bins; bins that hold a piece twice are opened, and of the worst bins some."""
         fill = self.fill(donor)
-        good = (fill >= WELL_FILLED * self.capacity) & (self.random.random(len(fill)) < 0.5)
+        full = np.flatnonzero(fill)
+        section = int(self.random.integers(1, max(2, int(SECTION * len(full)) + 1)))
+        wanted = full[np.argsort(-fill[full] * (1 + 0.02 * self.random.random(len(full))), kind="stable")[: 4 * section]]
+        good = np.zeros(len(fill), bool)
+        good[self.random.permutation(wanted)[:section]] = True
         injected = good[donor]
+        own = self.fill(into)
+        opened = np.zeros(len(own), bool)
+        opened[into[injected]] = True
+        worst = np.argsort(own + self.capacity * (own == 0) + 8 * self.random.random(len(own)))
+        opened[worst[: int(self.random.integers(1, 2 + section))]] = True  # mutation
+        loose = opened[into] & ~injected
         child = into.copy()
-        hit = np.zeros(int(into.max()) + 1, bool)
-        hit[into[injected]] = True
-        loose = hit[into] & ~injected
-        poor = self.fill(into) < REOPEN * self.capacity
-        loose |= poor[into] & ~injected  # mutation: the worst bins are opened as well
-        child[injected] = donor[injected] + len(hit)
+        child[injected] = donor[injected] + len(own)
         child[loose] = -1
-        child[~loose] = np.unique(child[~loose], return_inverse=True)[1]
-        items = np.flatnonzero(loose)
+        names = np.zeros(len(own) + len(fill), np.int64)
+        names[child[~loose]] = 1
+        child[~loose] = (np.cumsum(names) - 1)[child[~loose]]
+        items = self.exchange(child, np.flatnonzero(loose))
         key = self.size[items] * (1 + 0.02 * self.random.standard_normal(len(items)))
         return self.best_fit(child, items[np.argsort(-key, kind="stable")])
 
-    def evolve(self, population: list[np.ndarray], generations: int) -> np.ndarray:
-        """The elite. Stops early at the lower bound."""
-        least = -(-int(self.size.sum()) // self.capacity)
-        ranked = sorted(population, key=self.fitness, reverse=True)
-        for _ in range(generations):
-            if -self.fitness(ranked[0])[0] <= least or len(ranked) < 2:
+    def evolve(self, population: list[np.ndarray], generations: int) -> list[np.ndarray]:
+        """The population after so many children, the elite first. Ends early where the elite reaches the lower bound."""
+        least = self.least()
+        ranked = sorted(((self.fitness(g), i, g) for i, g in enumerate(population)), reverse=True)
+        for n in range(generations):
+            if -ranked[0][0][0] <= least or len(ranked) < 2:
                 break
-            a = int(self.random.integers(0, max(1, len(ranked) // 2)))
-            b = int(self.random.integers(0, len(ranked)))
-            ranked.append(self.crossover(ranked[a], ranked[b if b != a else (a + 1) % len(ranked)]))
-            ranked = sorted(ranked, key=self.fitness, reverse=True)[: len(population)]
-        return ranked[0]
-
-
-def _sorted_columns(data: pa.Table) -> dict[str, np.ndarray]:
-    data = data.sort_by("uid") if "island" not in data.column_names else data.sort_by([("island", "ascending"), ("uid", "ascending")])
-    return {n: data.column(n).to_numpy() for n in data.column_names}
+            a, b = self.random.choice(len(ranked), 2, replace=False)
+            child = self.crossover(ranked[min(a, b)][2], ranked[max(a, b)][2])
+            got = self.fitness(child)
+            if got > ranked[-1][0] and all(got != r[0] for r in ranked):  # equals would drive out variety
+                ranked = sorted([*ranked[:-1], (got, -1 - n, child)], reverse=True)
+        return [r[2] for r in ranked]
 
 
 def _seed(*key: int) -> int:
@@ -164,58 +210,65 @@ def _evolved(items: DataFrame, capacity: int) -> DataFrame:
     """(uid, length, bin) for (uid, length): bin is the smallest uid in it."""
     demes = max(1, -(-items.count() // DEME))
     dealt = items.withColumn("deme", F.pmod(F.xxhash64("uid"), F.lit(demes)).cast("int"))
-    schema = "deme int, island int, uid long, length long, grp int"
+    #: An island is a row: its pieces in order of uid, and its population, one grouping after another.
+    schema = "deme int, island int, uid array<long>, length array<long>, population array<int>"
 
-    def emit(deme: int, island: int, uid: np.ndarray, size: np.ndarray, group: np.ndarray) -> pa.Table:
-        n = len(uid)
-        return pa.table({"deme": pa.array(np.full(n, deme), pa.int32()), "island": pa.array(np.full(n, island), pa.int32()), "uid": pa.array(uid), "length": pa.array(size), "grp": pa.array(group, pa.int32())})
+    def row(deme: int, island: int, uid: np.ndarray, size: np.ndarray, population: list[np.ndarray]) -> pa.Table:
+        lists = [pa.array([x], k) for x, k in ((uid, pa.list_(pa.int64())), (size, pa.list_(pa.int64())), (np.concatenate(population).astype(np.int32), pa.list_(pa.int32())))]
+        return pa.Table.from_arrays([pa.array([deme], pa.int32()), pa.array([island], pa.int32()), *lists], ["deme", "island", "uid", "length", "population"])
+
+    def settlers(data: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """(origin, uid, size, population) of each row, by origin."""
+        out = []
+        for r in data.to_pylist():
+            uid = np.array(r["uid"], np.int64)
+            out.append((r["origin"], uid, np.array(r["length"], np.int64), list(np.array(r["population"], np.int64).reshape(-1, len(uid)))))
+        return sorted(out, key=lambda x: x[0])
 
     def begin(key: tuple, data: pa.Table) -> pa.Table:
         deme, island = (k.as_py() for k in key)
-        c = _sorted_columns(data)
-        genes = Genes(c["length"], capacity, _seed(deme, island))
+        data = data.sort_by("uid")
+        uid, size = data.column("uid").to_numpy(), data.column("length").to_numpy()
+        genes = Genes(size, capacity, _seed(deme, island))
         noise = [0.0 if island == 0 and i == 0 else 0.02 * (i + 1) for i in range(POPULATION)]
-        return emit(deme, island, c["uid"], c["length"], genes.evolve([genes.new(x) for x in noise], GENERATIONS))
+        return row(deme, island, uid, size, genes.evolve([genes.new(x) for x in noise], GENERATIONS))
 
     def migrate(key: tuple, data: pa.Table) -> pa.Table:
-        """An island with its own elite and its neighbour's."""
-        deme, island = (k.as_py() for k in key)
-        c = _sorted_columns(data.drop_columns(["island"]).rename_columns(["deme", "uid", "length", "grp", "island"]))
-        halves = [np.flatnonzero(c["island"] == i) for i in np.unique(c["island"])]
-        size, uid = c["length"][halves[0]], c["uid"][halves[0]]
-        genes = Genes(size, capacity, _seed(deme, island, 1))
-        population = [c["grp"][h].astype(np.int64) for h in halves] + [genes.new(0.03)]
-        return emit(deme, island, uid, size, genes.evolve(population, GENERATIONS))
+        """An island's population, in which its neighbour's elite takes the place of the worst, evolves on."""
+        deme, island, epoch = (k.as_py() for k in key)
+        all_ = settlers(data)
+        own = next(x for x in all_ if x[0] == island)
+        guests = [x[3][0] for x in all_ if x[0] != island]
+        genes = Genes(own[2], capacity, _seed(deme, island, epoch))
+        return row(deme, island, own[1], own[2], genes.evolve([*own[3][: max(1, POPULATION - len(guests))], *guests], GENERATIONS))
 
     def choose(key: tuple, data: pa.Table) -> pa.Table:
-        c = _sorted_columns(data)
-        best, mark = None, (0, 0.0)
-        for i in np.unique(c["island"]):
-            h = np.flatnonzero(c["island"] == i)
-            genes = Genes(c["length"][h], capacity, 0)
-            got = genes.fitness(c["grp"][h])
-            if best is None or got > mark:
-                best, mark = h, got
-        uid, group = c["uid"][best], c["grp"][best]
+        all_ = settlers(data)
+        _, uid, size, _ = all_[0]
+        genes = Genes(size, capacity, 0)
+        group = max((x[3][0] for x in all_), key=genes.fitness)
         lowest = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(lowest, group, uid)
-        return pa.table({"uid": uid, "length": c["length"][best], "bin": lowest[group]})
+        return pa.table({"uid": uid, "length": size, "bin": lowest[group]})
 
-    islands = dealt.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
-    elites = islands.select("deme", "island", "uid", "length").groupBy("deme", "island").applyInArrow(begin, schema)
-    # The elite of island i goes to island i + 1 and stays at i as well; "origin" keeps the two apart.
-    moved = elites.withColumn("origin", F.col("island")).withColumn("island", F.explode(F.array(F.col("island"), (F.col("island") + 1) % ISLANDS)))
-    settled = moved.select("deme", "island", "uid", "length", "grp", "origin").groupBy("deme", "island").applyInArrow(migrate, schema)
-    return settled.groupBy("deme").applyInArrow(choose, "uid long, length long, bin long")
+    islands = dealt.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)]))).select("deme", "island", "uid", "length")
+    state = written(islands.groupBy("deme", "island").applyInArrow(begin, schema), "islands")
+    for epoch in range(1, EPOCHS):
+        # An island's row goes to itself and to the next one; the next one takes no more of it than the elite.
+        moved = state.withColumn("origin", F.col("island")).withColumn("island", F.explode(F.array(F.col("island"), (F.col("island") + 1) % ISLANDS))).withColumn("epoch", F.lit(epoch))
+        light = moved.withColumn("population", F.when(F.col("island") == F.col("origin"), F.col("population")).otherwise(F.slice("population", 1, F.size("uid"))))
+        state = written(light.groupBy("deme", "island", "epoch").applyInArrow(migrate, schema), "islands")
+    return state.withColumn("origin", F.col("island")).groupBy("deme").applyInArrow(choose, "uid long, length long, bin long")
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``parts`` (with a column length, at most the capacity) with sequence_id and offset.
 
-    A sequence's pieces lie without a gap from offset 0 on. Two columns, uid and bin, are reserved.
+    A sequence's pieces lie without a gap from offset 0 on. Other columns pass through, but for those two names.
     """
-    parts = written(parts.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    rest = parts.where(F.col("length") < capacity).select("uid", "length")
+    key = unused(parts, "__uid")
+    parts = written(parts.drop("sequence_id", "offset").withColumn(key, F.monotonically_increasing_id()), "pieces")
+    rest = parts.where(F.col("length") < capacity).select(F.col(key).alias("uid"), "length")
     done: list[DataFrame] = []
     for _ in range(ROUNDS):
         packed = written(_evolved(rest, capacity), "packed")
@@ -230,10 +283,10 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed = bins.groupBy("bin").agg(F.sort_array(F.collect_list(F.struct("length", "uid")), asc=False).alias("items"))  # at most capacity pieces
     ends = F.aggregate("items", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["length"])))
     places = placed.withColumn("ends", ends).select("bin", F.posexplode("items").alias("k", "item"), "ends").select(
-        F.col("item.uid").alias("uid"), (2 * F.col("bin")).alias("sequence_id"), F.get("ends", F.col("k")).alias("offset"))
-    short = parts.where(F.col("length") < capacity).join(places, "uid")
-    full = parts.where(F.col("length") == capacity).withColumns({"sequence_id": 2 * F.col("uid") + 1, "offset": F.lit(0).cast("long")})
-    return short.unionByName(full).drop("uid")
+        F.col("item.uid").alias(key), (2 * F.col("bin")).alias("sequence_id"), F.get("ends", F.col("k")).alias("offset"))
+    short = parts.where(F.col("length") < capacity).join(places, key)
+    full = parts.where(F.col("length") == capacity).withColumns({"sequence_id": 2 * F.col(key) + 1, "offset": F.lit(0).cast("long")})
+    return short.unionByName(full).drop(key)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

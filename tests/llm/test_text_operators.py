@@ -129,6 +129,44 @@ def test_token_files(spark, folder, odd_docs, library):
     assert tokenfiles.op4_token_files(spark, folder(documents=[])).count() == 0
 
 
+@pytest.mark.parametrize("hard", ["just over a third", "triplets", "narrow"])
+def test_evolution_beats_best_fit_on_hard_lengths(hard):
+    r = np.random.default_rng(3)
+    if hard == "triplets":  # 150 full bins exist
+        pairs = [(a := int(r.integers(260, 500)), int(r.integers(260, min(500, 824 - a)))) for _ in range(150)]
+        size = np.array([x for a, b in pairs for x in (a, b, 1024 - a - b)])
+    else:
+        size = r.integers(256, 512, 600) if hard == "just over a third" else r.integers(300, 420, 600)
+    genes = packing.Genes(size, 1024, 1)
+    population = [genes.new(0.02 * i) for i in range(packing.POPULATION)]
+    bins = [-genes.fitness(population[0])[0]]
+    for _ in range(packing.EPOCHS):
+        population = genes.evolve(population, packing.GENERATIONS)
+        bins.append(-genes.fitness(population[0])[0])
+        assert all(len(g) == len(size) and g.min() >= 0 and genes.fill(g).max() <= 1024 for g in population)
+    assert bins == sorted(bins, reverse=True) and genes.least() <= bins[-1] < 0.98 * bins[0], bins
+    assert packing.Genes(np.array([6, 6, 6]), 10, 0).least() == 3 and packing.Genes(np.array([3, 3, 3, 3]), 10, 0).least() == 2
+
+
+def test_islands_beat_no_generations(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(4)
+    rows = [(i, int(n)) for i, n in enumerate(r.integers(300, 420, 500))]
+    bins = {}
+    for n in (0, packing.GENERATIONS):
+        monkeypatch.setattr(packing, "GENERATIONS", n)
+        got = packing.pack(spark.createDataFrame(rows, "uid long, length long").withColumn("bin", F.lit(1)))
+        placed = got.collect()
+        assert got.columns[:3] == ["uid", "length", "bin"] and sorted(x.uid for x in placed) == list(range(500))
+        full = Counter()
+        for x in placed:
+            full[x.sequence_id] += x.length
+        assert max(full.values()) <= 1024
+        bins[n] = len(full)
+    assert bins[packing.GENERATIONS] < 0.98 * bins[0], bins
+
+
 def test_packing(spark, folder, odd_docs, library):
     rows = odd_docs + [(50 + i, "some words here " * (i * 7 % 300), "en", "s", 0) for i in range(200)]
     got = packing.op6_packing(spark, folder(documents=rows)).collect()
