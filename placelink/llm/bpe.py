@@ -2,7 +2,9 @@
 
 The symbols of all new words of a batch lie in one flat array. A round looks every neighbouring pair up by binary
 search over the sorted pair keys, takes each word's lowest rank, and merges that pair wherever it stands in its word;
-words without a known pair leave the array. Decoding gathers the bytes of all ids of a batch at once.
+words without a known pair leave the array. In a word of over ``LONG_WORD`` bytes ranks are taken one after another instead, and a
+round touches only the places of its rank and their neighbours, so that its time stays near proportion to its length. (To merge
+all local minima of a word at once would not be exact: a merge beside may make a pair that goes first.) Decoding gathers the bytes of all ids of a batch at once.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; repeated rows and null ids are rows as any
 other; the id column keeps its name and type, further columns are not read. The vocabulary is read on the driver and
@@ -11,6 +13,7 @@ broadcast (its size is fixed), so executors need no file.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +32,10 @@ _WS = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 
 
+#: Words of more bytes are encoded apart, by ranks.
+LONG_WORD = 256
+
+
 def byte_letters() -> dict[str, int]:
     """Byte-level vocabularies spell a byte as its own letter where that is printable, else as the next letter from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -91,6 +98,66 @@ class Bpe:
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
+        if not any(len(w) > LONG_WORD for w in words):
+            return self._together(words)
+        ids, count = self._together([w if len(w) <= LONG_WORD else b"" for w in words])
+        parts = np.split(ids, np.cumsum(count)[:-1])
+        for i, w in enumerate(words):
+            if len(w) > LONG_WORD:
+                parts[i] = self._alone(w)
+        return np.concatenate(parts).astype(np.int32), np.array([len(x) for x in parts], np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols, or the number of merges where it has none."""
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], len(self.made))
+
+    def _alone(self, word: bytes) -> np.ndarray:
+        """The ids of one long word: its symbols are a linked list, ranks wait in a heap with the places where they were seen."""
+        symbol = self.byte_id[np.frombuffer(word, np.uint8)]
+        n, nowhere = len(symbol), len(self.made)
+        after, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def seen(place: np.ndarray) -> None:
+            rank = self._ranks(symbol[place], symbol[after[place]])
+            order = np.argsort(rank, kind="stable")
+            order = order[: np.searchsorted(rank[order], nowhere)]
+            if not len(order):
+                return
+            cuts = np.flatnonzero(np.diff(rank[order])) + 1
+            for some in np.split(order, cuts):
+                r = int(rank[some[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].append(place[some])
+
+        if n > 1:
+            seen(np.arange(n - 1))
+        while heap:
+            r = heapq.heappop(heap)
+            place = np.unique(np.concatenate(waiting.pop(r)))
+            place = place[alive[place] & (after[place] < n)]
+            place = place[self._ranks(symbol[place], symbol[after[place]]) == r]
+            if not len(place):
+                continue
+            # In a run like "aaaa" the pairs overlap: from the left, every other one merges.
+            begins = np.concatenate([[True], place[1:] != after[place[:-1]]])
+            run = np.maximum.accumulate(np.where(begins, np.arange(len(place)), 0))
+            place = place[(np.arange(len(place)) - run) % 2 == 0]
+            gone = after[place]
+            symbol[place], alive[gone] = self.made[r], False
+            after[place] = after[gone]
+            inner = after[place] < n
+            before[after[place][inner]] = place[inner]
+            near = np.unique(np.concatenate([place[inner], before[place][before[place] >= 0]]))
+            seen(near)
+        return symbol[alive].astype(np.int32)
+
+    def _together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nowhere = len(self.made)
         length = np.array([len(w) for w in words], np.int64)
         symbol = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
