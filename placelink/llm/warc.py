@@ -162,12 +162,19 @@ class Reader:
         return (int(first[1]) if len(first) > 1 and first[1].isdigit() else None), _named(raw)
 
     def rest(self) -> bytes:
-        while len(self.buffer) < (self.need or 0):
+        pieces, got, need = [], 0, self.need or 0
+        while True:  # pieces are joined once, so a payload takes time in proportion to its length
+            pieces.append(self.buffer)
+            got += len(self.buffer)
+            if got >= need:
+                break
+            self.buffer = b""
             if not self._more():
                 raise ValueError("a record is shorter than its Content-Length: the archive is damaged")
-        out, self.buffer = self.buffer[: self.need], self.buffer[self.need or 0 :]
-        self.need = 0
-        return out
+        last = pieces.pop()
+        kept = len(last) - (got - need)
+        self.buffer, self.need = last[kept:], 0
+        return b"".join([*pieces, last[:kept]])
 
     def skip(self) -> None:
         if self.inflate is not None:
@@ -263,47 +270,57 @@ class WarcReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    name: str | None
+    names: list[str]
 
 
 class WarcWriter(DataSourceWriter):
-    """Rows: record_type, record_id, refers_to, target_uri, date, payload (binary). Other columns are left out."""
+    """Rows: record_type, record_id, refers_to, target_uri, date, payload (binary). Other columns are left out.
+
+    A task's archives end at ``archive_bytes`` (an option, 1 GiB), so that readers get partitions of bounded size. Each job has its own
+    temporary folder, so appends that run side by side do not disturb one another.
+    """
 
     def __init__(self, options: dict[str, str], overwrite: bool):
         if overwrite:
             raise ValueError("an archive folder is only appended to: use mode('append')")
         self.path = options["path"]
+        self.most = int(options.get("archive_bytes", str(1 << 30)))
+        self.held = f"_temporary-{uuid.uuid4().hex}"
 
     def write(self, rows: Iterator[Row]) -> Written:
         fs, path = file_system(self.path)
-        name = f"{uuid.uuid4().hex}.warc.gz"
-        out = None
+        names: list[str] = []
+        out, size = None, 0
         for row in rows:
-            if out is None:
-                fs.create_dir(f"{path}/_temporary", recursive=True)
-                out = fs.open_output_stream(f"{path}/_temporary/{name}", compression=None)
             payload = bytes(row["payload"]) if row["payload"] is not None else b""
-            out.write(member(record(row["record_type"], row["record_id"], row["target_uri"], row["date"], payload, row["refers_to"])))
-        if out is None:
-            return Written(None)
-        out.close()
-        return Written(name)
+            raw = member(record(row["record_type"], row["record_id"], row["target_uri"], row["date"], payload, row["refers_to"]))
+            if out is not None and size + len(raw) > self.most:
+                out.close()
+                out = None
+            if out is None:
+                fs.create_dir(f"{path}/{self.held}", recursive=True)
+                names.append(f"{uuid.uuid4().hex}.warc.gz")
+                out, size = fs.open_output_stream(f"{path}/{self.held}/{names[-1]}", compression=None), 0
+            out.write(raw)
+            size += len(raw)
+        if out is not None:
+            out.close()
+        return Written(names)
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, path = file_system(self.path)
         fs.create_dir(path, recursive=True)
         for m in messages:
-            if m is not None and m.name:
-                fs.move(f"{path}/_temporary/{m.name}", f"{path}/{m.name}")
+            for name in m.names if m is not None else ():
+                fs.move(f"{path}/{self.held}/{name}", f"{path}/{name}")
         self._clean(fs, path)
 
     def abort(self, messages: list[Written | None]) -> None:
         self._clean(*file_system(self.path))
 
-    @staticmethod
-    def _clean(fs: pafs.FileSystem, path: str) -> None:
-        if fs.get_file_info(f"{path}/_temporary").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{path}/_temporary")
+    def _clean(self, fs: pafs.FileSystem, path: str) -> None:
+        if fs.get_file_info(f"{path}/{self.held}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{path}/{self.held}")
 
 
 class WarcSource(DataSource):
