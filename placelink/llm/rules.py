@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import table
+from .storage import table, unused
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORDLESS = r"[^\x20\x09-\x0D]"
@@ -127,18 +127,19 @@ def verdict(m: Column, rules: tuple[Rule, ...] = TABLE) -> tuple[Column, Column]
     return failed, kept
 
 
-def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = TABLE) -> DataFrame:
-    """``docs`` with a struct column ``__rules`` of all measures and verdicts."""
+def measured(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = TABLE, out: str = "__rules") -> DataFrame:
+    """``docs`` with a struct column ``out`` of all measures and verdicts."""
 
     def judged(m: Column) -> Column:
         failed, kept = verdict(m, rules)
         return m.withField("base_failed", failed).withField("kept", kept)
 
-    return docs.withColumn("__rules", _let(measures(F.col(text_col)), judged))
+    return docs.withColumn(out, _let(measures(F.col(text_col)), judged))
 
 
 def kept_only(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = TABLE) -> DataFrame:
-    return measured(docs, text_col, rules).where("__rules.kept").drop("__rules")
+    name = unused(docs, "__rules")
+    return measured(docs, text_col, rules, name).where(F.col(name)["kept"]).drop(name)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
