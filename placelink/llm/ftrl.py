@@ -2,20 +2,22 @@
 
 Training sees a bounded sample of labelled rows (``max_rows``, smallest hash of the id first); features are hashed on
 the executors and the driver receives at most ``max_rows`` sparse rows. Scoring covers every row: a map over Arrow
-batches that gathers one broadcast array of ``2 ** bits`` float32 weights (4 bytes each, so a fixed size), no shuffle.
+batches, no shuffle. L1 leaves few weights; only those travel (a number and a float32 each, ``2 ** bits`` at most) and a worker
+spreads them over an array to look features up.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import unused
 from .textcore import Words, distinct_in, mixed, slices, texts
 
 U = np.uint64
@@ -103,23 +105,36 @@ class Ftrl:
 
 @dataclass
 class Model:
+    """``at`` and ``value``: the weights that are not zero."""
+
     grams: Grams
-    weights: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
     bias: float
     empty: float
     trained_rows: int
-    info: dict = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, grams: Grams, weights: np.ndarray, bias: float, empty: float, trained_rows: int) -> Model:
+        at = np.flatnonzero(weights).astype(np.int32)
+        return cls(grams, at, weights[at].astype(np.float32), bias, empty, trained_rows)
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros(1 << self.grams.bits, np.float32)
+        out[self.at] = self.value
+        return out
 
     def score_batch(self, column: pa.Array, weights: np.ndarray) -> np.ndarray:
         data, at = texts(column)
         first, key = self.grams.of(data, at)
         total = np.concatenate([[0.0], np.cumsum(weights[key], dtype=np.float64)])
         out = 1 / (1 + np.exp(-np.clip(total[first[1:]] - total[first[:-1]] + self.bias, -35, 35)))
-        return np.where(np.diff(at) == 0, self.empty, out) if self.trained_rows else np.full(len(at) - 1, self.empty)
+        return np.where(np.diff(first) == 0, self.empty, out) if self.trained_rows else np.full(len(at) - 1, self.empty)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, grams: Grams, ftrl: Ftrl, empty: float, max_rows: int = 8000) -> Model:
-    """Fits on at most ``max_rows`` labelled rows. Null ids or labels are not used; several labels of one id count as their largest.
+    """Fits on at most ``max_rows`` labelled rows. Null ids or labels are not used; several labels of one id count as their largest, and of
+    several documents with one id the one whose features come first in order of bytes is used.
 
     ``empty`` is the score of texts without any word, and of all texts when no row is labelled.
     """
@@ -139,32 +154,33 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
                 yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__y"), pa.array(raw, pa.binary())], ["__id", "__y", "x"])
 
     kind = rows.schema["__id"].dataType.simpleString()
-    got = sorted(rows.mapInArrow(features, f"__id {kind}, __y int, x binary").collect(), key=lambda r: (r[0], r[2]))
+    # One row an id, whatever number of documents repeat it: so max_rows bounds what the driver gets.
+    one_each = rows.mapInArrow(features, f"__id {kind}, __y int, x binary").groupBy("__id", "__y").agg(F.min("x").alias("x"))
+    got = sorted(one_each.collect(), key=lambda r: (r[0], r[2]))
     size = 1 << grams.bits
     y = np.array([r[1] for r in got], float)
     if not len(y):
-        return Model(grams, np.zeros(size, np.float32), 0.0, empty, 0)
+        return Model.of(grams, np.zeros(size, np.float32), 0.0, empty, 0)
     weights, bias = ftrl.fit([r[2] for r in got], y, size)
-    return Model(grams, weights, bias, empty, len(y))
+    return Model.of(grams, weights, bias, empty, len(y))
 
 
 def scored(docs: DataFrame, model: Model, text_col: str, out: str = "score") -> DataFrame:
-    """``docs`` with one more column, the score of each whole text. Columns pass through unchanged, whatever their names.
+    """``docs`` with one more column at the end, the score of each whole text. Columns pass through unchanged, whatever their names.
 
-    A column that is called like ``out`` already is replaced.
+    Where a column is called like ``out`` already, the new one has underscores behind its name.
     """
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    kept = [c for c in docs.columns if c != out]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
-    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
-    light = Model(model.grams, np.zeros(0, np.float32), model.bias, model.empty, model.trained_rows)
+    out = unused(docs, out)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shared.value.dense()
         for whole in batches:
             for batch in slices(whole, text_col):
-                s = light.score_batch(batch.column(text_col), shared.value)
+                s = shared.value.score_batch(batch.column(text_col), weights)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], [*batch.schema.names, out])
 
     return docs.mapInArrow(run, schema)
@@ -172,18 +188,18 @@ def scored(docs: DataFrame, model: Model, text_col: str, out: str = "score") ->
 
 def scores_only(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
     """(id, score): the text goes to the workers and does not come back."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
-    light = Model(model.grams, np.zeros(0, np.float32), model.bias, model.empty, model.trained_rows)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shared.value.dense()
         for whole in batches:
             for batch in slices(whole, "__text"):
-                s = light.score_batch(batch.column("__text"), shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(s)], ["__id", "score"])
+                s = shared.value.score_batch(batch.column("__text"), weights)
+                yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(s)], ["__id", "__score"])
 
-    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, score double")
-    return out.withColumnRenamed("__id", id_col)
+    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, __score double")
+    return out.select(F.col("__id").alias(id_col), F.col("__score").alias("score"))
 
 
 def verdict(score: Column, at: float) -> Column:

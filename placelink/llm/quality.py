@@ -1,6 +1,6 @@
 """Operator 3, quality classifier: hashed word n-gram logistic regression, follow-the-regularised-leader updates, scored as sparse dot products.
 
-Defined cases: a null or empty text scores ``EMPTY``; rows with a null id are scored as any other; repeated rows are
+Defined cases: a text without any word, null or empty, scores ``EMPTY``; rows with a null id are scored as any other; repeated rows are
 scored each; without any labelled row every text scores ``UNLABELLED``; extra columns pass through.
 """
 

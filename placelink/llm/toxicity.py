@@ -1,6 +1,6 @@
 """Operator 1, toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Defined cases: a null or empty text scores ``EMPTY``; rows with a null id are scored as any other; repeated rows are
+Defined cases: a text without any word, null or empty, scores ``EMPTY``; rows with a null id are scored as any other; repeated rows are
 scored each; without any labelled row every text scores ``EMPTY``; extra columns pass through.
 """
 
@@ -30,7 +30,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 def clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that are not toxic, with the columns they came with."""
-    return scored(docs, model, text_col, "__toxicity").where(F.col("__toxicity") < threshold).drop("__toxicity")
+    out = scored(docs, model, text_col, "__toxicity")
+    name = out.columns[-1]
+    return out.where(F.col(name) < threshold).drop(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
