@@ -148,6 +148,17 @@ def decode_block(raw: bytes, table: Table, mark: int = 0, until: int | None = No
     return ids
 
 
+def decode_range(blocks: list[bytes], table: Table, first: int, last: int) -> np.ndarray:
+    """The ids from ``first`` up to ``last`` of a segment: of each block that they touch, from the checkpoint before to the one after them."""
+    step, out = EVERY * LANES, [np.zeros(0, np.uint32)]
+    for k in range(first // BLOCK, -(-last // BLOCK)):
+        a, b = max(first - k * BLOCK, 0), min(last - k * BLOCK, BLOCK)
+        if a < b:
+            mark = a // step
+            out.append(decode_block(blocks[k], table, mark, -(-b // step))[a - mark * step : b - mark * step])
+    return np.concatenate(out)
+
+
 def pack_segment(docs: pa.RecordBatch, tokens: np.ndarray) -> bytes:
     """docs: what is kept of each document; its column n_tokens has the lengths."""
     table = Table.of(tokens)
