@@ -280,3 +280,27 @@ def test_warc_pushdown_and_foreign_archives(spark, tmp_path):
     (tmp_path / "d.warc").write_bytes(bytes(bad))
     with pytest.raises(Exception, match="does not match its digest"):
         spark.read.format("warc").option("verify", "true").load(str(tmp_path / "d.warc")).collect()
+
+
+def test_warc_long_payloads_and_rolled_archives(spark, folder, tmp_path):
+    import io
+    import time
+
+    took = []
+    for size in (8 << 20, 32 << 20):
+        body = np.random.default_rng(0).integers(0, 255, size, dtype=np.uint8).tobytes()
+        plain = warc.record("response", "urn:x", "http://a/", "2024-01-01T00:00:00Z", body)
+        began = time.perf_counter()
+        for raw in (plain * 2, warc.member(plain) * 2):
+            seen = 0
+            for reader in warc.Source(io.BytesIO(raw), raw[:2]).records():
+                reader.head(), reader.block_head()
+                assert reader.rest() == body
+                seen += 1
+            assert seen == 2
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] + 0.5, took
+    warc.register(spark)
+    rows = spark.createDataFrame([("response", f"urn:placelink:page:{i}", None, "http://a/", "2024-01-01T00:00:00Z", bytes([i]) * 3000, 7) for i in range(40)], "record_type string, record_id string, refers_to string, target_uri string, date string, payload binary, status int")
+    rows.coalesce(1).write.format("warc").option("archive_bytes", "2000").mode("append").save(str(tmp_path / "rolled"))
+    assert len(list((tmp_path / "rolled").iterdir())) > 2 and spark.read.format("warc").option("verify", "true").load(str(tmp_path / "rolled")).count() == 40

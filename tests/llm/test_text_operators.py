@@ -1,5 +1,7 @@
 import hashlib
+import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -43,6 +45,56 @@ def test_toxicity_learns_and_keeps_the_fold_apart(spark, folder, odd_docs):
     assert all(again[i] == got[i].score for i, *_ in rows)
 
 
+def plain_ftrl(rows, labels, ftrl):
+    """The same updates, coordinate by coordinate with dictionaries."""
+    z, n = {}, {}
+    rate = min(max(sum(labels) / len(labels), 1e-3), 1 - 1e-3)
+    bias, bias_n = math.log(rate / (1 - rate)), 1.0
+
+    def weight(i):
+        x = z.get(i, 0.0)
+        return 0.0 if abs(x) <= ftrl.l1 else -math.copysign(abs(x) - ftrl.l1, x) / ((ftrl.beta + math.sqrt(n.get(i, 0.0))) / ftrl.alpha + ftrl.l2)
+
+    order = np.random.Generator(np.random.PCG64(ftrl.seed))
+    for _ in range(ftrl.passes):
+        for k in order.permutation(len(rows)):
+            w = {int(i): weight(int(i)) for i in rows[k]}
+            g = 1 / (1 + math.exp(-(sum(w.values()) + bias))) - labels[k]
+            for i, v in w.items():
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / ftrl.alpha * v
+                n[i] = old + g * g
+            bias_n += g * g
+            bias -= 0.02 * g / math.sqrt(bias_n) * ftrl.alpha
+    return {i: weight(i) for i in z}, bias
+
+
+@pytest.mark.parametrize(("operator", "label"), [(toxicity, 2), (quality, 1)])
+def test_scores_equal_a_plain_version(spark, folder, operator, label):
+    rows, labels = toxic_rows(120)
+    rows += [(5000, " \t\n ", "en", "s", 3), (1, rows[1][1], "en", "again", 0)]
+    got = {r.doc_id: r.score for r in (operator.op1_toxicity if operator is toxicity else operator.op3_quality)(spark, folder(documents=rows, labels=labels)).collect()}
+    texts = {i: t for i, t, *_ in rows}
+    features = lambda t: operator.GRAMS.of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[1]
+    learnt = sorted(i for i, *_ in labels if zlib.crc32(str(i).encode()) % 5)
+    by = {x[0]: x[label] for x in labels}
+    weights, bias = plain_ftrl([features(texts[i]) for i in learnt], [float(by[i]) for i in learnt], operator.FTRL)
+    for i, t in texts.items():
+        want = 1 / (1 + math.exp(-(sum(weights.get(int(x), 0.0) for x in features(t)) + bias))) if t.strip() else operator.EMPTY
+        assert got[i] == pytest.approx(want, abs=1e-4), i
+
+
+def test_classifiers_keep_clashing_columns_and_bound_the_collect(spark, folder):
+    rows, labels = toxic_rows(60)
+    docs = spark.read.parquet(folder(documents=rows + [rows[1]] * 40, labels=labels) + "/documents.parquet").selectExpr("*", "1 AS score", "2 AS __toxicity", "3 AS __rules")
+    model = toxicity.fit(docs, spark.read.parquet(folder() + "/labels.parquet"))
+    assert model.trained_rows == sum(1 for i, *_ in rows if zlib.crc32(str(i).encode()) % 5) and len(model.at) == len(model.value) < 2000
+    assert toxicity.score(docs, model).columns == [*docs.columns, "score_"] and toxicity.clean(docs, model).columns == docs.columns
+    kept = rules.kept_only(docs)
+    assert kept.columns == docs.columns and {(r.score, r["__rules"]) for r in kept.collect()} <= {(1, 3)}
+    assert {(r.score, r["__toxicity"]) for r in toxicity.clean(docs, model).collect()} == {(1, 2)}
+
+
 def test_classifiers_without_rows_or_labels(spark, folder, odd_docs):
     at = folder(documents=odd_docs, labels=[])
     assert {r.score for r in toxicity.op1_toxicity(spark, at).collect()} == {toxicity.EMPTY}
@@ -86,6 +138,23 @@ def test_bpe_equals_the_library(spark, folder, odd_docs, library):
     assert Counter(r[1] for r in back.collect()) == Counter(t or "" for _, t, *_ in rows)
 
 
+def test_long_words_equal_the_library(library):
+    """Words beyond LONG_WORD, in time near proportion to their length."""
+    r = np.random.default_rng(2)
+    b = bpe.Bpe(bpe.read_vocabulary(bpe.default_vocabulary()))
+    letters = lambda alphabet, n: "".join(r.choice(list(alphabet), n))
+    words = ["a" * 3000, "ab" * 700, "aaab" * 300, "é" * 400, "short", letters("etaoinshrdlu", 2000), letters("abc", 900), "the" * 500, letters("abcdefghijklmnopqrstuvwxyz", 120_000)]
+    ids, count = b.encode_words([w.encode() for w in words])
+    for w, got in zip(words, np.split(ids, np.cumsum(count)[:-1]), strict=True):
+        assert got.tolist() == library.encode(w, add_special_tokens=False).ids
+    took = []
+    for w in (words[-1][:30_000], words[-1]):
+        began = time.perf_counter()
+        b.encode_words([w.encode()])
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] + 0.5, took
+
+
 def test_token_ids_equal_the_library(library):
     encode = tokens.TokenIds(bpe.read_vocabulary(bpe.default_vocabulary()))
     for t in ADVERSARIAL:
@@ -118,6 +187,22 @@ def expected_tokens(rows, library):
     return [(i, np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4")) for i, t, *_ in rows]
 
 
+def test_token_files_of_some_documents(spark, folder, library, tmp_path):
+    rows = [(i if i % 9 else None, f"text {i} " * (i % 40), "en", "s", 0) for i in range(300)]
+    docs = spark.read.parquet(folder(documents=rows) + "/documents.parquet").selectExpr("*", "1 AS h", "2 AS part")
+    path = f"file://{tmp_path}/ids"
+    tokenfiles.write(docs, path, bpe.default_vocabulary())
+    whole = {r.doc_id: r for r in tokenfiles.read(spark, path, ids=True).collect() if r.doc_id is not None}
+    some = tokenfiles.read(spark, path, ids=True, only=[4, 77, 299, 10_000]).collect()
+    assert sorted(some) == [whole[4], whole[77], whole[299]] and tokenfiles.read(spark, path, only=[]).count() == 0
+    import pyarrow as pa
+
+    ids = (np.random.default_rng(1).zipf(1.3, 300_000) % 50_257).astype(np.uint32)
+    _, freq, blocks = rans.open_segment(rans.pack_segment(pa.RecordBatch.from_arrays([pa.array([300_000])], ["n_tokens"]), ids))
+    for a, b in ((0, 10), (5, 5), (131_071, 131_073), (262_140, 262_150), (0, 300_000), (299_999, 300_000)):
+        assert np.array_equal(rans.decode_range(blocks, freq, a, b), ids[a:b])
+
+
 def test_token_files(spark, folder, odd_docs, library):
     rows = odd_docs + [(50 + i, "some words " * i, "en", "s", 0) for i in range(40)]
     at, want = 0, []
@@ -253,6 +338,34 @@ def test_secrets_by_brute_force(spark, folder, odd_docs):
     assert secret_scan.op8_secrets(spark, folder(documents=[])).count() == 0
 
 
+def test_secrets_by_owners_and_repositories(spark, folder):
+    """Many owners make a value an example, and so do many repositories of one owner; few of both leave it live."""
+    own = lambda k: f"token = {k * 20}"
+    rows = [(i, own("a"), "en", "hot", 0) for i in range(secret_scan.REPOSITORIES)] + [(1000 + i, own("b"), "en", "hot", 0) for i in range(secret_scan.REPOSITORIES - 1)]
+    rows += [(2000 + i, own("c"), "en", f"o{i}", 0) for i in range(secret_scan.WIDESPREAD)] + [(3000 + i, own("d"), "en", f"o{i % 2}", 0) for i in range(10)] + [(4000, own("e"), None, None, None)] * 200
+    live = {}
+    for r in secret_scan.op8_secrets(spark, folder(documents=rows)).collect():
+        live.setdefault(r.doc_id // 1000, set()).add(r.n_live)
+    assert live == {0: {0}, 1: {1}, 2: {0}, 3: {1}, 4: {1}}
+
+
+def test_texts_of_many_secrets(spark, folder):
+    r = np.random.default_rng(5)
+    parts = lambda n: "".join((f"é token = {r.integers(2**60):016x} ", f"password: secret{r.integers(2**60):018x};", "AKIA" + "Q" * 8 + f"{r.integers(10**12):012d} ", "plain words ")[k] for k in r.integers(0, 4, n))
+    rows = [(i, parts(n), "en", f"o{i}", 0) for i, n in enumerate((1, 127, 128, 129, 300, 12_000))]
+    at = folder(documents=rows)
+    got = {x.doc_id: x.base_sha256 for x in secret_scan.op8_secrets(spark, at).collect()}
+    clean = {x.doc_id: x.text for x in secret_scan.redacted(spark.read.parquet(at + "/documents.parquet").selectExpr("*", "1 AS __row", "2 AS __spans")).collect()}
+    for i, t, *_ in rows:
+        spans, end, want = brute_secrets(t), 0, []
+        assert got[i] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        for _, a, b in spans:
+            if a >= end:
+                want.append(t[end:a] + "[SECRET]")
+            end = max(end, b)
+        assert clean[i] == "".join(want) + t[end:]
+
+
 def test_parts_have_the_ids_of_whole_texts():
     from placelink.llm.tokens import KEPT, LONG, TokenIds
 
