@@ -7,8 +7,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Pairs at once; a pair costs (length x length) bytes.
-CHUNK = 4096
+#: Bytes of one comparison (pairs x longest x longest) that are worked on at once, and pairs at most; a pair beyond that goes alone.
+CELLS = 1 << 22
+CHUNK = 8192
 
 
 def _padded(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -27,10 +28,24 @@ def _in_order(chars: np.ndarray, matched: np.ndarray, width: int) -> np.ndarray:
 
 
 def jaro_winkler(left: list[bytes], right: list[bytes]) -> np.ndarray:
-    """Prefix bonus of 0.1 for each of up to 4 equal first bytes, where the Jaro value is over 0.7; two empty names score 0."""
-    out = np.zeros(len(left))
-    for i in range(0, len(left), CHUNK):
-        out[i : i + CHUNK] = _chunk(left[i : i + CHUNK], right[i : i + CHUNK])
+    """Prefix bonus of 0.1 for each of up to 4 equal first bytes, where the Jaro value is over 0.7; two empty names score 0.
+
+    Equal names are 1 at once. The others go by length, so that a long name is padded to no short one's cost and holds up no other pair.
+    """
+    out = np.array([float(a == b and a != b"") for a, b in zip(left, right, strict=True)])
+    la, lb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right))
+    todo = np.flatnonzero((out == 0) & (la > 0) & (lb > 0))
+    longest = np.maximum(la, lb)[todo]
+    todo = todo[np.argsort(longest, kind="stable")]
+    longest = np.sort(longest)
+    i = 0
+    while i < len(todo):
+        j = min(len(todo), i + CHUNK)
+        while j > i + 1 and (j - i) * longest[j - 1] ** 2 > CELLS * 4:
+            j = i + max(1, (j - i) // 2)
+        part = todo[i:j]
+        out[part] = _chunk([left[k] for k in part], [right[k] for k in part])
+        i = j
     return out
 
 

@@ -127,40 +127,23 @@ def _with(*views: str, select: str) -> str:
 
 # --- text and licences -----------------------------------------------------------------------------------------------
 
-_HEADS = "SELECT doc_id, array_to_string(regexp_extract_all(text, '[^ \\n.,:;]+')[1:3], ' ') AS name FROM documents"
+_TEXTS = "SELECT doc_id, text AS name FROM documents"
 _NORM = "trim(regexp_replace(lower(strip_accents(replace(name, '&', ' and '))), '[^a-z0-9]+', ' ', 'g'))"
 
 
-def _heads(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[^ \n.,:;]+"), F.lit(0)), 1, 3), " ").alias("name"))
-
-
-@query("norm_names", f"SELECT doc_id, {_NORM} AS name_norm FROM ({_HEADS})")
-def norm_names(spark: SparkSession, d: str) -> DataFrame:
-    return _heads(spark, d).select("doc_id", text.normalized(c("name")).alias("name_norm"))
-
-
-@query("name_tokens", f"SELECT doc_id, array_to_string(list_sort(string_split({_NORM}, ' ')), ' ') AS name_tokens FROM ({_HEADS})")
-def name_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return _heads(spark, d).select("doc_id", text.sorted_tokens(text.normalized(c("name"))).alias("name_tokens"))
-
-
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", c("text").alias("name"))
 
 
-_TEXTS = "SELECT doc_id, text AS name FROM documents"
-
-
-@query("norm_texts", f"SELECT doc_id, {_NORM} AS text_norm FROM ({_TEXTS})")
-def norm_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Whole texts; ``norm_names`` has their first three words, as its SQL."""
-    return _texts(spark, d).select("doc_id", text.normalized(c("name")).alias("text_norm"))
+@query("norm_names", f"SELECT doc_id, {_NORM} AS name_norm FROM ({_TEXTS})")
+def norm_names(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts as names."""
+    return _texts(spark, d).select("doc_id", text.normalized(c("name")).alias("name_norm"))
 
 
-@query("text_tokens", f"SELECT doc_id, array_to_string(list_sort(string_split({_NORM}, ' ')), ' ') AS text_tokens FROM ({_TEXTS})")
-def text_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return _texts(spark, d).select("doc_id", text.sorted_tokens(text.normalized(c("name"))).alias("text_tokens"))
+@query("name_tokens", f"SELECT doc_id, array_to_string(list_sort(string_split({_NORM}, ' ')), ' ') AS name_tokens FROM ({_TEXTS})")
+def name_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return _texts(spark, d).select("doc_id", text.sorted_tokens(text.normalized(c("name"))).alias("name_tokens"))
 
 
 @query("datasets_extract", _with(select=f"SELECT source_id, {_DATASETS.format(p='provenance')} AS datasets FROM obs"))
@@ -206,10 +189,10 @@ def obs_tiles(spark: SparkSession, d: str) -> DataFrame:
     return fixture.observations(spark, d).groupBy("source", x.alias("tile_x"), y.alias("tile_y")).agg(F.count("*").alias("n"))
 
 
-@query("tile_mask_distinct", _with(select="SELECT DISTINCT floor(lon / 0.25)::INTEGER AS tile_x, floor(lat / 0.25)::INTEGER AS tile_y FROM obs WHERE lon < 120.5"))
+@query("tile_mask_distinct", _with(select="SELECT DISTINCT floor(lon / 0.25)::INTEGER AS tile_x, floor(lat / 0.25)::INTEGER AS tile_y FROM obs"))
 def tile_mask_distinct(spark: SparkSession, d: str) -> DataFrame:
     x, y = tile_columns(c("lon"), c("lat"), 0.25)
-    return fixture.observations(spark, d).where("lon < 120.5").select(x.alias("tile_x"), y.alias("tile_y")).distinct()
+    return fixture.observations(spark, d).select(x.alias("tile_x"), y.alias("tile_y")).distinct()
 
 
 _CFG = match.MatchConfig()
@@ -493,7 +476,7 @@ met AS (SELECT tile_x, tile_y, bool_or(least(x1, x2) < (tile_x + 1) * 0.25::DOUB
   sum(CASE WHEN ((y1 > (tile_y + 0.5::DOUBLE) * 0.25::DOUBLE) <> (y2 > (tile_y + 0.5::DOUBLE) * 0.25::DOUBLE)) AND (tile_x + 0.5::DOUBLE) * 0.25::DOUBLE < x1 + ((tile_y + 0.5::DOUBLE) * 0.25::DOUBLE - y1) / (y2 - y1) * (x2 - x1) THEN 1 ELSE 0 END) % 2 = 1 AS inside
   FROM tl, e GROUP BY ALL)""", select="SELECT tile_x, tile_y FROM met WHERE touched OR inside"))
 def tile_mask_land(spark: SparkSession, d: str) -> DataFrame:
-    """The boundary's mask over the tiles of all observations; ``tile_mask_distinct`` has the western tiles, as its SQL."""
+    """The boundary's mask over the tiles of all observations."""
     found = obs_tiles(spark, d).select("tile_x", "tile_y").distinct().collect()  # an area's tile list
     return places.tiles_on_land(spark, [Tile(r.tile_y, r.tile_x, 0.25) for r in found], _ring_edges(spark))
 
