@@ -22,6 +22,9 @@ from .textcore import Words, distinct_in, mixed, slices, texts
 
 U = np.uint64
 
+#: Bytes of text whose features are made at once: some 150 bytes of arrays a byte.
+SLICE = 1 << 19
+
 #: 0 parts tokens, 1 letters, digits and all bytes of other scripts, 2 signs.
 KINDS = np.full(256, 2, np.uint8)
 KINDS[[0x20, *range(0x09, 0x0E)]] = 0
@@ -147,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, "__text", SLICE):
                 first, key = grams.of(*texts(batch.column("__text")))
                 # A text's features ascend: their gaps deflate to a third, which is what the driver then holds.
                 raw = [zlib.compress(np.diff(key[a:b], prepend=0).astype(np.int32).tobytes(), 1) for a, b in zip(first[:-1], first[1:], strict=True)]
@@ -179,7 +182,7 @@ def scored(docs: DataFrame, model: Model, text_col: str, out: str = "score") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value.dense()
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, SLICE):
                 s = shared.value.score_batch(batch.column(text_col), weights)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], [*batch.schema.names, out])
 
@@ -194,7 +197,7 @@ def scores_only(docs: DataFrame, model: Model, id_col: str, text_col: str) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value.dense()
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, "__text", SLICE):
                 s = shared.value.score_batch(batch.column("__text"), weights)
                 yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(s)], ["__id", "__score"])
 
