@@ -16,7 +16,8 @@ from .storage import fold, table
 
 #: Words, bigrams, and how far words, bigrams and trigrams repeat.
 GRAMS = Grams(offsets=((0,), (0, 1)), repeats=True)
-FTRL = Ftrl(alpha=1.0, l1=5.0, l2=0.1, passes=5)
+#: Of eight settings the one with the least log loss over four folds of the training rows of sf0.1.
+FTRL = Ftrl(alpha=2.0, l1=8.0, l2=0.1, passes=5)
 EMPTY = 0.0
 UNLABELLED = 1.0
 THRESHOLD = 0.3

@@ -14,6 +14,7 @@ from .storage import fold, table
 
 #: Words, bigrams and skip-grams with one word between; words backed off to their first 4, 5 and 6 bytes.
 GRAMS = Grams(offsets=((0,), (0, 1), (0, 2)), prefixes=(4, 5, 6))
+#: Of eleven settings the one with the least log loss over four folds of the training rows of sf0.1.
 FTRL = Ftrl(alpha=1.0, l1=8.0, l2=0.1, passes=8)
 EMPTY = 0.0
 THRESHOLD = 0.5
