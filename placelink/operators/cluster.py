@@ -8,10 +8,12 @@ change either. Rounds of such merges repeat until no edge is active; clusters ho
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placelink.plans.scope import CODE
 from placelink.plans.storage import numbered, settled
 
 RANK = ("score", "name_score", "distance_m", "left_source", "left_source_id", "right_source", "right_source_id")
@@ -43,22 +45,38 @@ def ranked(edge_ids: DataFrame) -> DataFrame:
 
 
 def clusters(nodes: DataFrame, ranked_edges: DataFrame) -> DataFrame:
-    """(row_id, cluster_root) for nodes (row_id, source_code); ranked_edges: left_id, right_id, rank (unique)."""
+    """(row_id, cluster_root) for nodes (row_id, source_code); ranked_edges: left_id, right_id, rank (unique).
+
+    Edges carry the names and sources of the clusters that they join, so a round reads no node and only edges that are still
+    open: one job marks those that rank first at both ends, and the next round's plan renames what they merge. A name
+    changes at most as often as a cluster can grow, so the merges of all rounds are followed by that many joins.
+    """
     c = F.col
-    state = settled(nodes.select(c("row_id").alias("id"), c("row_id").alias("c"), c("source_code").cast("int").alias("m")))
-    active = settled(ranked_edges.select("left_id", "right_id", "rank"))
+    end = lambda p: nodes.select(c("row_id").alias(f"{p}_i"), c("row_id").alias(f"{p}_c"), c("source_code").cast("int").alias(f"{p}_m"))
+    joinable = (c("l_c") != c("r_c")) & (c("l_m").bitwiseAND(c("r_m")) == 0)
+    open_ = ranked_edges.select("left_id", "right_id", "rank").join(end("l"), c("left_id") == c("l_i")).join(end("r"), c("right_id") == c("r_i")).select("rank", "l_c", "l_m", "r_c", "r_m").where(joinable)
+    rounds: list[DataFrame] = []
     while True:
-        end = lambda p: state.select(c("id").alias(f"{p}_i"), c("c").alias(f"{p}_c"), c("m").alias(f"{p}_m"))  # noqa: E731, B023
-        met = active.join(end("l"), c("left_id") == c("l_i")).join(end("r"), c("right_id") == c("r_i"))
-        open_ = settled(met.where((c("l_c") != c("r_c")) & (c("l_m").bitwiseAND(c("r_m")) == 0)).select("left_id", "right_id", "rank", "l_c", "r_c", "l_m", "r_m"))
-        if open_.isEmpty():
-            return state.select(c("id").alias("row_id"), c("c").alias("cluster_root"))
         first = open_.select(c("l_c").alias("k"), "rank").union(open_.select("r_c", "rank")).groupBy("k").agg(F.min("rank").alias("best"))
         best = lambda p: first.select(c("k").alias(f"{p}_k"), c("best").alias(f"{p}_best"))  # noqa: E731, B023
-        chosen = open_.join(best("l"), (c("l_c") == c("l_k")) & (c("rank") == c("l_best"))).join(best("r"), (c("r_c") == c("r_k")) & (c("rank") == c("r_best")))
+        both = (c("rank") == c("l_best")) & (c("rank") == c("r_best"))
+        marked = settled(open_.join(best("l"), c("l_c") == c("l_k")).join(best("r"), c("r_c") == c("r_k")).select("rank", "l_c", "l_m", "r_c", "r_m", both.alias("chosen")))
+        chosen = marked.where("chosen")
+        if chosen.isEmpty():
+            break
+        rounds.append(chosen.select(F.greatest("l_c", "r_c").alias("old"), F.least("l_c", "r_c").alias("root")))
         merged = chosen.select(F.least("l_c", "r_c").alias("root"), F.explode(F.array("l_c", "r_c")).alias("old"), c("l_m").bitwiseOR(c("r_m")).alias("mask"))
-        state = settled(state.join(merged, c("c") == c("old"), "left").select("id", F.coalesce("root", "c").alias("c"), F.coalesce("mask", "m").alias("m")))
-        active = open_.select("left_id", "right_id", "rank")
+        renamed = marked.where("NOT chosen").select("rank", "l_c", "l_m", "r_c", "r_m")
+        for p in "lr":
+            to = merged.select(c("old").alias(f"{p}_old"), c("root").alias(f"{p}_root"), c("mask").alias(f"{p}_mask"))
+            renamed = renamed.join(to, c(f"{p}_c") == c(f"{p}_old"), "left").withColumns({f"{p}_c": F.coalesce(f"{p}_root", f"{p}_c"), f"{p}_m": F.coalesce(f"{p}_mask", f"{p}_m")}).drop(f"{p}_old", f"{p}_root", f"{p}_mask")
+        open_ = renamed.where(joinable)
+    out = nodes.select("row_id", c("row_id").alias("cluster_root"))
+    if rounds:
+        moves = settled(reduce(DataFrame.unionByName, rounds))
+        for _ in range(len(CODE) - 1):
+            out = out.join(moves, c("cluster_root") == c("old"), "left").select("row_id", F.coalesce("root", "cluster_root").alias("cluster_root"))
+    return out
 
 
 def greedy(codes: list[int], pairs: Iterable[tuple[int, int]]) -> list[int]:

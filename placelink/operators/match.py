@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelink.functions import geo, licence, text
-from placelink.functions.similarity import best_jw, jw
+from placelink.functions.similarity import best_jw, jw, letters, most_jw
 from placelink.plans.scope import CODE, SOURCES, Tile, source_pairs
 
 # Fixed values of the matching rules.
@@ -82,16 +82,18 @@ def accepts(distance: float, score: float, left: str, right: str, max_distance_m
     return next(score >= least for limit, least in bands(max_distance_m) if distance <= limit)
 
 
-def candidates(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None) -> DataFrame:
-    """Pairs of different sources within the radius, with distance_m. core: left rows are of this tile only, right rows of any."""
-    columns = ["source", "source_id", "category", "provenance", "lon", "lat", "name_norm", "name_tokens"]
-    placed = obs.where(F.col("source").isin(*sources)).withColumns({"gx": geo.cell(F.col("lon"), cfg.cell), "gy": geo.cell(F.col("lat"), cfg.cell), "code": F.expr("CASE source " + " ".join(f"WHEN '{s}' THEN {c}" for s, c in CODE.items()) + " END")})
+def candidates(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None, fresh: str | None = None) -> DataFrame:
+    """Pairs of different sources within the radius, with distance_m. core: left rows are of this tile only, right rows of any; fresh: a column of which one end at least has true."""
+    columns = ["source", "source_id", "category", "provenance", "lon", "lat", "name_norm", "name_tokens", "letters", *([fresh] if fresh else [])]
+    placed = obs.where(F.col("source").isin(*sources)).withColumns({"letters": letters(F.col("name_norm")), "gx": geo.cell(F.col("lon"), cfg.cell), "gy": geo.cell(F.col("lat"), cfg.cell), "code": F.expr("CASE source " + " ".join(f"WHEN '{s}' THEN {c}" for s, c in CODE.items()) + " END")})
     side = lambda p, extra: placed.select(*[F.col(c).alias(f"{p}_{c}") for c in [*columns, "code"]], *extra)
     left = side("l", [F.col("gx"), F.col("gy")])
     left = geo.neighbours(left if core is None else left.where(core.contains(F.col("l_lon"), F.col("l_lat"))), "gx", "gy").drop("gx", "gy")
     right = side("r", [F.col("gx"), F.col("gy")])
     c = F.col
     box = (F.abs(c("r_lat") - c("l_lat")) <= cfg.lat_span) & (F.abs(c("r_lon") - c("l_lon")) <= cfg.cell)
+    if fresh:
+        box = box & (c(f"l_{fresh}") | c(f"r_{fresh}"))
     met = left.join(right, (c("nx") == c("gx")) & (c("ny") == c("gy")) & (c("l_code") < c("r_code")) & box)
     near = met.withColumn("distance_m", geo.haversine(c("l_lon"), c("l_lat"), c("r_lon"), c("r_lat")))
     return near.where(c("distance_m") <= cfg.max_distance_m).drop("nx", "ny", "gx", "gy")
@@ -121,9 +123,12 @@ def independent() -> Column:
     return F.when(pair, ~licence.declares_fsq(F.col("r_provenance"))).otherwise(True)
 
 
-def edges(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None) -> DataFrame:
+def edges(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None, fresh: str | None = None) -> DataFrame:
     c = F.col
-    kept = named(candidates(obs, cfg, sources, core)).where(accepted(c("distance_m"), c("name_score"), c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
+    # What the best score that two names may reach does not let in, for their distance, never gets to Python.
+    most = most_jw(*[c(f"{p}_{x}") for x in ("name_norm", "name_tokens", "letters") for p in "lr"])
+    possible = candidates(obs, cfg, sources, core, fresh).where(accepted(c("distance_m"), most, c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
+    kept = named(possible).where(accepted(c("distance_m"), c("name_score"), c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
     scored = kept.withColumn("category_score", category_score(c("l_category"), c("r_category")))
     return scored.select(
         c("l_source").alias("left_source"), c("l_source_id").alias("left_source_id"), c("r_source").alias("right_source"), c("r_source_id").alias("right_source_id"), "distance_m",

@@ -6,25 +6,40 @@ import hashlib
 import json
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _ready(spark: SparkSession) -> None:
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; only where that is unset, in local mode, a folder of our own."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.gettempdir() + "/placelink-checkpoints")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+        at = "file://" + tempfile.gettempdir() + "/placelink-checkpoints"
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder, so that losing an executor loses nothing of it."""
-    _ready(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once, as Parquet in the shared folder: losing an executor loses nothing of it, and later plans know its size."""
+    at = f"{shared_dir(df.sparkSession)}/placelink-settled/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Deletes settled tables that nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        for f in df.inputFiles()[:1]:
+            path = context._jvm.org.apache.hadoop.fs.Path(f).getParent()
+            if "/placelink-settled/" in path.toString():
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, keys: list[Column], name: str, start: int = 0) -> DataFrame:

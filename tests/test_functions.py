@@ -39,6 +39,36 @@ def test_jaro_winkler():
     assert len(similarity.jaro_winkler([], [])) == 0
 
 
+def test_one_long_name_holds_up_no_other():
+    import time
+
+    rnd = random.Random(3)
+    name = lambda n: "".join(rnd.choice("abcde fgh") for _ in range(n)).encode()
+    left, right = ([name(rnd.randrange(1, 25)) for _ in range(4096)] for _ in "lr")
+    want = similarity.jaro_winkler(left, right)
+    took = []
+    for n in (20, 2000):
+        left[5], right[5] = name(n), name(n)
+        began = time.perf_counter()
+        got = similarity.jaro_winkler(left, right)
+        took.append(time.perf_counter() - began)
+    assert all(a == b for i, (a, b) in enumerate(zip(got, want, strict=True)) if i != 5) and took[1] < took[0] + 2, took
+
+
+def test_upper_bound_of_the_name_score(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdeilor") for _ in range(rnd.randrange(1, 9)))
+    rows = []
+    for _ in range(3000):
+        a = " ".join(word() for _ in range(rnd.randrange(1, 4)))
+        b = a[: rnd.randrange(1, len(a) + 1)].strip() or "x" if rnd.random() < 0.4 else " ".join(word() for _ in range(rnd.randrange(1, 4)))
+        rows.append((a, b, " ".join(sorted(a.split())), " ".join(sorted(b.split()))))
+    c = F.col
+    df = spark.createDataFrame(rows, "a string, b string, ta string, tb string")
+    got = df.select(similarity.best_jw(c("a"), c("b"), c("ta"), c("tb"), 0.0).alias("s"), similarity.most_jw(c("a"), c("b"), c("ta"), c("tb"), similarity.letters(c("a")), similarity.letters(c("b"))).alias("most")).collect()
+    assert all(r.s <= r.most for r in got) and sum(r.most < 0.82 for r in got) > 300
+
+
 def test_jw_nulls_and_cutoff(spark):
     df = spark.createDataFrame([("abc", "abc"), ("abc", None), (None, None), ("abcd", "xyz")], "a string, b string")
     assert [r[0] for r in df.select(similarity.jw(F.col("a"), F.col("b"), 0.65)).collect()] == [1.0, None, None, 0.0]
@@ -92,11 +122,34 @@ def test_wkb_and_land(spark):
     assert {r.point_id for r in geo.on_land(points, edges, 0.002).collect()} == {"in", "coast", "corner"}
 
 
+def test_land_by_cells_equals_brute_force(spark):
+    """A ragged ring with a hole, points all over and close to the edges."""
+    rnd = random.Random(4)
+    ring = [(math.cos(a / 40 * 2 * math.pi) * r, math.sin(a / 40 * 2 * math.pi) * r) for a in range(40) for r in [0.2 + 0.25 * rnd.random()]]
+    hole = [(-0.05, -0.06), (0.07, -0.04), (0.03, 0.08)]
+    edges = [(*p, *q) for r in (ring, hole) for p, q in zip(r, [*r[1:], r[0]], strict=True)]
+    points = [(i, rnd.uniform(-0.5, 0.5), rnd.uniform(-0.5, 0.5)) for i in range(1500)]
+    points += [(2000 + i, e[0] + t * (e[2] - e[0]) + rnd.uniform(-0.004, 0.004), e[1] + t * (e[3] - e[1]) + rnd.uniform(-0.004, 0.004)) for i, e in enumerate(edges * 8) for t in [rnd.random()]]
+    tolerance, want = 0.002, set()
+    for i, x, y in points:
+        odd, near = False, False
+        for x1, y1, x2, y2 in edges:
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) / (y2 - y1) * (x2 - x1):
+                odd = not odd
+            dx, dy = x2 - x1, y2 - y1
+            t = min(1.0, max(0.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy)))
+            near = near or (x - x1 - t * dx) ** 2 + (y - y1 - t * dy) ** 2 <= tolerance**2
+        if odd or near:
+            want.add(i)
+    got = geo.on_land(spark.createDataFrame(points, "point_id long, lon double, lat double"), spark.createDataFrame(edges, "x1 double, y1 double, x2 double, y2 double"), tolerance)
+    assert {r.point_id for r in got.collect()} == want and 300 < len(want) < len(points) - 300
+
+
 def test_whole_texts_are_normalized(spark):
     docs = {r.doc_id: text.normalized_text(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    assert {r.doc_id: r.text_norm for r in catalogue.norm_texts(spark, SF).collect()} == docs
+    assert {r.doc_id: r.name_norm for r in catalogue.norm_names(spark, SF).collect()} == docs
     tokens = {i: None if t is None else " ".join(sorted(t.split(" "))) for i, t in docs.items()}
-    assert {r.doc_id: r.text_tokens for r in catalogue.text_tokens(spark, SF).collect()} == tokens
+    assert {r.doc_id: r.name_tokens for r in catalogue.name_tokens(spark, SF).collect()} == tokens
     assert max(len(t.split()) for t in docs.values() if t) > 1000
 
 
