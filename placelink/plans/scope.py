@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Box = tuple[float, float, float, float]
+
+# Fixed values of sources and scopes.
 SOURCES = ("fsq", "overture", "osm")
 DEFAULT_SOURCES = ("overture", "osm")
 CODE = {"fsq": 1, "overture": 2, "osm": 4}

@@ -34,13 +34,14 @@ class Part(WriterCommitMessage):
 class GeoParquetWriter(DataSourceArrowWriter):
     def __init__(self, path: str, schema: StructType, rows_in_group: int):
         self.path, self.rows_in_group = path, rows_in_group
+        self.held = f"_temporary-{uuid.uuid4().hex}"  # each job's own, so appends side by side do not disturb one another
         self.arrow = to_arrow_schema(schema).with_metadata({b"geo": json.dumps(GEO).encode()})
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Part:
         fs, path = _file_system(self.path)
-        fs.create_dir(f"{path}/_temporary", recursive=True)
+        fs.create_dir(f"{path}/{self.held}", recursive=True)
         name = f"part-{uuid.uuid4().hex}.parquet"
-        with fs.open_output_stream(f"{path}/_temporary/{name}") as out, pq.ParquetWriter(out, self.arrow, compression="zstd") as w:
+        with fs.open_output_stream(f"{path}/{self.held}/{name}") as out, pq.ParquetWriter(out, self.arrow, compression="zstd") as w:
             for batch in batches:
                 w.write_table(pa.Table.from_batches([batch]).cast(self.arrow), row_group_size=self.rows_in_group)
         return Part(name)
@@ -49,13 +50,13 @@ class GeoParquetWriter(DataSourceArrowWriter):
         fs, path = _file_system(self.path)
         for m in messages:
             if m is not None:
-                fs.move(f"{path}/_temporary/{m.name}", f"{path}/{m.name}")
-        fs.delete_dir(f"{path}/_temporary")
+                fs.move(f"{path}/{self.held}/{m.name}", f"{path}/{m.name}")
+        self.abort(messages)
 
     def abort(self, messages: list[Part | None]) -> None:
         fs, path = _file_system(self.path)
-        if fs.get_file_info(f"{path}/_temporary").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{path}/_temporary")
+        if fs.get_file_info(f"{path}/{self.held}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{path}/{self.held}")
 
 
 class GeoParquetSource(DataSource):

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from placelink.functions import geo, licence, text
 from placelink.plans.scope import PH_BOX, Scope, Tile, tile_columns
 
+# Fixed values of the sources.
 OSM_KEYS = ("amenity", "shop", "office", "craft", "tourism", "leisure", "healthcare", "industrial", "man_made", "club", "emergency", "public_transport")
 LAND_TOLERANCE = 0.002
 COLUMNS = ("source", "source_id", "name", "category", "lon", "lat", "provenance", "upstream_license", "name_norm", "name_tokens")
@@ -86,7 +87,7 @@ def _place(geometry: pd.Series) -> pd.DataFrame:
         elif kind == "LineString" and at:
             out.append(geo.surface_point([[tuple(p[:2]) for p in at][: max(3, 0)] if len(at) < 4 else [tuple(at[len(at) // 2][:2])]]))
         elif kind in ("Polygon", "MultiPolygon") and at:
-            rings = at if kind == "Polygon" else max(at, key=lambda poly: len(poly[0]))
+            rings = at if kind == "Polygon" else max(at, key=lambda poly: geo.area(poly[0]))
             out.append(geo.surface_point([[tuple(p[:2]) for p in r] for r in rings]))
         else:
             out.append((math.nan, math.nan))
@@ -96,14 +97,16 @@ def _place(geometry: pd.Series) -> pd.DataFrame:
 def osm(spark: SparkSession, path: str) -> DataFrame:
     """A GeoJSON sequence, one feature a line, as the export of tagged objects gives it."""
     seq = spark.read.option("lineSep", "\n").text(path).select(F.trim(F.translate("value", "\u001e", "")).alias("value")).where("value <> ''")
-    tags = F.from_json(F.get_json_object("value", "$.properties"), "map<string,string>")
-    point = F.pandas_udf(_place, "lon double, lat double")(F.get_json_object("value", "$.geometry"))
+    part = lambda name: F.get_json_object("value", name)
+    is_point = part("$.geometry.type") == "Point"  # those need no Python
+    at = F.when(is_point, F.from_json(part("$.geometry.coordinates"), "array<double>"))
+    shape = F.pandas_udf(_place, "lon double, lat double")(F.when(~is_point, part("$.geometry")))
+    raw = seq.select(F.from_json(part("$.properties"), "map<string,string>").alias("t"), at.alias("at"), shape.alias("p"))
+    rows = raw.select("t", F.coalesce(F.get("at", F.lit(0)), F.col("p.lon")).alias("lon"), F.coalesce(F.get("at", F.lit(1)), F.col("p.lat")).alias("lat"))
     kind, number = F.coalesce(F.col("t")["@type"], F.col("t")["osm_type"]), F.coalesce(F.col("t")["@id"], F.col("t")["osm_id"])
-    rows = seq.select(tags.alias("t"), point.alias("p")).withColumn("t", F.col("t")).select("t", "p.lon", "p.lat")
-    category = F.concat_ws(" | ", *[F.concat(F.lit(f"{k}="), F.col("t")[k]) for k in OSM_KEYS])
     tagged = rows.where(F.coalesce(*[F.col("t")[k] for k in OSM_KEYS]).isNotNull() & Scope("ph", (PH_BOX,)).contains(F.col("lon"), F.col("lat")))
     none = F.lit(None).cast("string")
-    return _observations(tagged, "osm", F.concat(kind, F.lit("/"), number), F.col("t")["name"], category, F.col("lon"), F.col("lat"), none, F.lit(licence.SOURCE_LICENCE["osm"]))
+    return _observations(tagged, "osm", F.concat(kind, F.lit("/"), number), F.col("t")["name"], osm_category(list(OSM_KEYS), "t."), F.col("lon"), F.col("lat"), none, F.lit(licence.SOURCE_LICENCE["osm"]))
 
 
 def write_tiles(obs: DataFrame, path: str, size: float) -> None:
@@ -145,4 +148,4 @@ def tiles_on_land(spark: SparkSession, tiles: list[Tile], edges: DataFrame) -> D
     c = F.col
     touched = edges.join(F.broadcast(grid), (F.least("x1", "x2") < c("e")) & (F.greatest("x1", "x2") > c("w")) & (F.least("y1", "y2") < c("n")) & (F.greatest("y1", "y2") > c("s"))).select("tile_x", "tile_y")
     middles = grid.select("tile_x", "tile_y", ((c("w") + c("e")) / 2).alias("lon"), ((c("s") + c("n")) / 2).alias("lat"), F.concat_ws(",", "tile_x", "tile_y").alias("point_id"))
-    return touched.union(geo.on_land(middles, edges, 0.0).select("tile_x", "tile_y")).distinct()
+    return touched.union(geo.inside(middles, edges, ["tile_x", "tile_y"]).select("tile_x", "tile_y")).distinct()

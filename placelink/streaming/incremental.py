@@ -1,7 +1,8 @@
 """Incremental matching: a stream of observation files; each micro-batch matches its rows against all rows around them.
 
-The observation table is the state. A batch's rows replace those of the same (source, source_id); only tiles that the
-batch touches, and their neighbours, are read for matching, and the edges of the batch's rows are written anew.
+The observation table is the state, partitioned by batch and tile. A batch's rows replace those of the same (source, source_id);
+where such a row lay in another tile, the batch leaves a mark there, so each tile alone tells what counts in it. Only tiles
+that the batch touches, and their neighbours, are read for matching, and only pairs with a row of the batch are scored.
 Every write is keyed by the batch number, so a repeated batch overwrites its own output.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from placelink.operators import match
@@ -16,35 +18,55 @@ from placelink.plans.scope import tile_columns
 from placelink.sources.places import SCHEMA
 
 
-def match_batch(batch: DataFrame, known: DataFrame, cfg: match.MatchConfig = match.MatchConfig(), tile: float = 0.25) -> DataFrame:
-    """Edges with at least one end in ``batch``; known rows of an id that the batch has too are out of date."""
+TILE = 0.25
+
+
+def tiled(rows: DataFrame, tile: float = TILE) -> DataFrame:
     x, y = tile_columns(F.col("lon"), F.col("lat"), tile)
-    touched = batch.select(x.alias("tx"), y.alias("ty")).distinct()
-    around = touched.withColumn("i", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("j", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
-    near = around.select((F.col("tx") + F.col("i")).alias("tx"), (F.col("ty") + F.col("j")).alias("ty")).distinct()
-    fresh = batch.select("source", "source_id")
-    old = known.withColumns({"kx": x, "ky": y}).join(near, (F.col("kx") == F.col("tx")) & (F.col("ky") == F.col("ty")), "left_semi").drop("kx", "ky").join(fresh, ["source", "source_id"], "left_anti")
-    edges = match.edges(old.unionByName(batch), cfg)
-    end = lambda p: fresh.select(F.col("source").alias(f"{p}_s"), F.col("source_id").alias(f"{p}_i"), F.lit(True).alias(f"{p}_new"))
+    return rows.withColumns({"tile_x": x, "tile_y": y})
+
+
+def around(batch: DataFrame, history: DataFrame, tile: float = TILE) -> DataFrame:
+    """The rows of ``history`` (with batch, tile_x, tile_y) in the tiles of the batch and next to them. Partitions far from all of them are not read."""
+    steps = F.explode(F.array(*map(F.lit, (-1, 0, 1))))
+    touched = tiled(batch, tile).select("tile_x", "tile_y").distinct().withColumn("i", steps).withColumn("j", steps)
+    near = touched.select((F.col("tile_x") + F.col("i")).alias("nx"), (F.col("tile_y") + F.col("j")).alias("ny")).distinct()
+    ends = near.agg(F.min("nx"), F.max("nx"), F.min("ny"), F.max("ny")).first()
+    if ends[0] is None:
+        return history.limit(0)
     c = F.col
-    marked = edges.join(end("l"), (c("left_source") == c("l_s")) & (c("left_source_id") == c("l_i")), "left").join(end("r"), (c("right_source") == c("r_s")) & (c("right_source_id") == c("r_i")), "left")
-    return marked.where(F.coalesce("l_new", "r_new")).select(edges.columns)
+    pruned = history.where(c("tile_x").between(ends[0], ends[1]) & c("tile_y").between(ends[2], ends[3]))
+    return pruned.join(near, (c("tile_x") == c("nx")) & (c("tile_y") == c("ny")), "left_semi")
+
+
+def match_batch(batch: DataFrame, known: DataFrame, cfg: match.MatchConfig = match.MatchConfig()) -> DataFrame:
+    """Edges with at least one end in ``batch``; known rows of an id that the batch has too are out of date."""
+    old = known.join(batch.select("source", "source_id"), ["source", "source_id"], "left_anti")
+    both = old.withColumn("fresh", F.lit(False)).unionByName(batch.withColumn("fresh", F.lit(True)))
+    return match.edges(both, cfg, fresh="fresh")
 
 
 def start(spark: SparkSession, incoming: str, table: str, edges: str, checkpoint: str, cfg: match.MatchConfig = match.MatchConfig(), once: bool = True) -> StreamingQuery:
     """Streams Parquet files of ten-column observations. Output: ``table/batch=n`` and ``edges/batch=n``; the latest batch of an id counts."""
+    kept = T.StructType([*SCHEMA.fields, *(T.StructField(x, T.IntegerType()) for x in ("batch", "tile_x", "tile_y"))])
 
     def one(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        batch = batch.dropDuplicates(["source", "source_id"])
+        batch = tiled(batch.dropDuplicates(["source", "source_id"]))
         try:
-            known = latest(session.read.parquet(table).where(F.col("batch") < number))
+            session.read.parquet(table)
+            history = session.read.schema(kept).parquet(table).where(F.col("batch") < number)
         except Exception as e:  # the first batch finds no table yet
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-            known = session.createDataFrame([], SCHEMA)
-        match_batch(batch, known, cfg).write.mode("overwrite").parquet(f"{edges}/batch={number}")
-        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+            history = session.createDataFrame([], kept)
+        rows = batch.select(SCHEMA.fieldNames())
+        match_batch(rows, latest(around(rows, history)), cfg).write.mode("overwrite").parquet(f"{edges}/batch={number}")
+        c = F.col
+        places = history.select(c("source").alias("s"), c("source_id").alias("i"), c("tile_x").alias("x"), c("tile_y").alias("y")).distinct()
+        left = batch.join(places, (c("source") == c("s")) & (c("source_id") == c("i")) & ((c("tile_x") != c("x")) | (c("tile_y") != c("y"))))
+        marks = left.select("source", "source_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMA.fields[2:]], c("x").alias("tile_x"), c("y").alias("tile_y"))
+        batch.select(*SCHEMA.fieldNames(), "tile_x", "tile_y").unionByName(marks).write.mode("overwrite").partitionBy("tile_x", "tile_y").parquet(f"{table}/batch={number}")
 
     stream = spark.readStream.schema(SCHEMA).parquet(incoming)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one)
@@ -52,9 +74,10 @@ def start(spark: SparkSession, incoming: str, table: str, edges: str, checkpoint
 
 
 def latest(rows: DataFrame) -> DataFrame:
-    """Each id's row of its last batch."""
+    """Each id's row of its last batch; none where that is a mark that the id has left, a row without a name."""
     held = [F.col(x) for x in SCHEMA.fieldNames()]
-    return rows.groupBy("source", "source_id").agg(F.max_by(F.struct(*held), "batch").alias("r")).select("r.*")
+    last = F.max_by(F.struct(*held), F.struct("batch", F.col("name").isNotNull()))
+    return rows.groupBy("source", "source_id").agg(last.alias("r")).select("r.*").where(F.col("name").isNotNull())
 
 
 def current_edges(spark: SparkSession, edges: str, table: str) -> DataFrame:
