@@ -1,6 +1,8 @@
-"""Command line: build, status, validate, attribution, areas, storage, clean, doctor.
+"""Command line: ingest, build, status, validate, attribution, areas, storage, clean, doctor.
 
-Input of ``build`` is the tiled observation table (``placelink.sources.places.write_tiles``) under the root.
+``ingest`` makes the tiled observation table under the root from provider files that Spark can read, pins their releases and notes
+which tiles are covered; ``build`` then refuses tiles that are not, and releases other than the pins. A table made in another
+way (``placelink.sources.places.write_tiles``) has no such note and is taken as it is.
 """
 
 from __future__ import annotations
@@ -12,11 +14,12 @@ import json
 import math
 import shutil
 import sys
+import uuid
 from pathlib import Path
 
 from placelink import __version__
 from placelink.plans import attribution, state
-from placelink.plans.scope import PH_BOX, Scope, sources_of, tiles
+from placelink.plans.scope import PH_BOX, Scope, sources_of, tile_columns, tiles
 from placelink.plans.storage import read_json, sealed, write_json
 
 REMOVABLE = ("outputs", "stages")
@@ -27,7 +30,11 @@ class Refused(RuntimeError):
 
 
 def areas(root: Path) -> dict[str, dict]:
-    """name -> {"boxes": [[w, s, e, n], ...]} from areas.json under the root."""
+    """name -> {"boxes": [[w, s, e, n], ...]} from areas.yml or areas.json under the root."""
+    if (root / "areas.yml").exists():
+        import yaml
+
+        return yaml.safe_load((root / "areas.yml").read_text(encoding="utf-8")) or {}
     return read_json(root / "areas.json") or {}
 
 
@@ -55,6 +62,63 @@ def output(root: Path, scope: Scope) -> Path:
     return root / "outputs" / scope.slug
 
 
+def ingest(args: argparse.Namespace, root: Path) -> int:
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    from placelink.operators import canonical
+    from placelink.sources import places
+
+    scope = target(args, root)
+    spark = SparkSession.builder.appName("placelink").getOrCreate()
+    land = places.boundary_edges(spark.read.parquet(args.land)) if args.land else None
+    grid = tiles(scope.boxes, args.tile)
+    on = places.tiles_on_land(spark, grid, land) if land is not None else None  # an area's tile list
+    parts, releases = [], {}
+    for source, path in (("fsq", args.fsq), ("overture", args.overture), ("osm", args.osm)):
+        if path is None:
+            continue
+        found = state.newest(spark, path) if source != "osm" else None
+        release, folder = found or (args.release, path)
+        if release is None:
+            raise state.StateError(f"{source}: no dated folder in {path}, and no --release")
+        if source == "osm":
+            rows = places.osm(spark, folder)
+        else:
+            raw = spark.read.parquet(folder)
+            if source == "overture" and "lon" not in raw.columns:
+                raw = raw.withColumns({"lon": F.col("bbox.xmin"), "lat": F.col("bbox.ymin")})  # a point's box
+            rows = places.overture(raw, scope, land) if source == "overture" else places.foursquare(raw, scope)
+        rows = rows.where(scope.contains(F.col("lon"), F.col("lat")))
+        if on is not None:
+            x, y = tile_columns(F.col("lon"), F.col("lat"), args.tile)
+            rows = rows.join(F.broadcast(on), (x == F.col("tile_x")) & (y == F.col("tile_y")), "left_semi")
+        parts.append(rows)
+        releases[source] = release
+    if not parts:
+        raise state.StateError("name the files of one source at least")
+    for source, release in releases.items():
+        state.adopt(root, source, release, args.replace)
+    places.write_tiles(canonical.unified(parts), str(root / "observations"), args.tile)
+    note = read_json(root / "observations.json") or {"sources": {}}
+    for source, release in releases.items():
+        former = note["sources"].get(source, {})
+        kept = former.get("tiles", []) if former.get("release") == release and former.get("tile") == args.tile else []
+        note["sources"][source] = {"release": release, "tile": args.tile, "tiles": sorted({*kept, *(t.key for t in grid)})}
+    write_json(root / "observations.json", note)
+    print(json.dumps({"releases": releases, "tiles": len(grid)}))
+    return 0
+
+
+def covered(root: Path, sources: tuple[str, ...], grid: list) -> dict | None:
+    """The gate before matching: every tile of every source is there, if empty, of the pinned release. None where no note says what is there."""
+    note = read_json(root / "observations.json")
+    if note is None:
+        return None
+    have = {s: set(x["tiles"]) for s, x in note["sources"].items()}
+    return state.snapshot(root, sources, grid, have, {s: x["release"] for s, x in note["sources"].items()})
+
+
 def build(args: argparse.Namespace, root: Path) -> int:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
@@ -67,7 +131,8 @@ def build(args: argparse.Namespace, root: Path) -> int:
     cfg = match.MatchConfig(args.max_distance)
     spark = SparkSession.builder.appName("placelink").getOrCreate()
     grid = tiles(scope.boxes, args.tile)
-    inputs = {"scope": scope.name, "boxes": scope.boxes, "sources": sources, "match": cfg.describe(), "tiles": sealed([t.key for t in grid]), "releases": {s: state.pin(root, s) for s in sources}}
+    gate = covered(root, sources, grid)
+    inputs = {"snapshot": gate, "scope": scope.name, "boxes": scope.boxes, "sources": sources, "match": cfg.describe(), "tiles": sealed([t.key for t in grid]), "releases": {s: state.pin(root, s) for s in sources}}
     obs_in = places.read_tiles(spark, str(root / "observations"), grid, sources).where(scope.contains(F.col("lon"), F.col("lat")))
     stage = state.Stage(root / "stages", "edges", inputs)
     if args.rebuild:
@@ -81,8 +146,8 @@ def build(args: argparse.Namespace, root: Path) -> int:
     roots = settled(cluster.clusters(obs.select("row_id", "source_code"), cluster.ranked(edges)))
     final = settled(canonical.match_edges(edges, roots))
     points = settled(canonical.canonical(obs, roots, final))
-    out = output(root, scope)
-    shutil.rmtree(out, ignore_errors=True)
+    whole = output(root, scope)
+    out = whole.with_name(f".{whole.name}.{uuid.uuid4().hex}")  # takes the former one's place when all of it is there
     obs.write.parquet(str(out / "observations"))
     final.write.parquet(str(out / "match_edges"))
     geoparquet.write(spark, points, str(out / "canonical"))
@@ -92,6 +157,11 @@ def build(args: argparse.Namespace, root: Path) -> int:
     write_json(out / "summary.json", counts | {"sources": inputs["releases"]})
     (out / "ATTRIBUTION.txt").write_text(attribution.text(scope.name, sources, inputs["releases"], observed), encoding="utf-8")
     write_json(out / "run.json", {"version": __version__, "active_sources": list(sources), "git_dirty": None, "scope": scope.name, "boxes": scope.boxes, "pairs": match.pair_names(sources), "tile": args.tile, "licensing": attribution.block(sources, inputs["releases"], observed), "summary": counts})
+    former = whole.with_name(out.name + ".former")
+    if whole.exists():
+        whole.rename(former)
+    out.rename(whole)
+    shutil.rmtree(former, ignore_errors=True)
     print(json.dumps(counts, default=str))
     return 0
 
@@ -164,6 +234,11 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--sources")
         return p
 
+    i = command("ingest", ingest, True)
+    for flag in ("--fsq", "--overture", "--osm", "--land", "--release"):
+        i.add_argument(flag)
+    i.add_argument("--tile", type=float, default=1.0)
+    i.add_argument("--replace", action="store_true")
     b = command("build", build, True)
     b.add_argument("--max-distance", type=float, default=120.0)
     b.add_argument("--tile", type=float, default=1.0)

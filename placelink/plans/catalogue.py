@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +12,9 @@ from placelink.functions import geo, licence, similarity, text
 from placelink.operators import canonical, cluster, match, validate
 from placelink.plans import fixture
 from placelink.plans.scope import SOURCES, Scope, Tile, source_pairs, tile_columns
-from placelink.plans.storage import settled
-from placelink.sources import places
+from placelink.plans.storage import settled, shared_dir
+from placelink.sources import geoparquet, places
+from placelink.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 Q: dict[str, Query] = {}
@@ -504,6 +505,60 @@ def foursquare_filter(spark: SparkSession, d: str) -> DataFrame:
     return places.foursquare(raw, SCOPE).select("source_id", "name_norm")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/placelink-settled/{name}-{uuid.uuid4().hex}"
+
+
+def _features(spark: SparkSession, d: str, geometry: Column) -> DataFrame:
+    """The osm observations, written as a GeoJSON sequence and read back."""
+    rows = fixture.observations(spark, d, ("osm",))
+    tags = F.struct(F.split_part("source_id", F.lit("/"), F.lit(1)).alias("@type"), F.split_part("source_id", F.lit("/"), F.lit(2)).alias("@id"), "name", c("category").alias("amenity"))
+    path = _scratch(spark, "features")
+    rows.select(F.concat(F.lit("\u001e"), F.to_json(F.struct(F.lit("Feature").alias("type"), tags.alias("properties"), geometry.alias("geometry")))).alias("value")).write.text(path)
+    return places.osm(spark, path)
+
+
+@query("osm_features", _with(select="SELECT source_id, name, 'amenity=' || category AS category, lon, lat, name_norm FROM obs WHERE source = 'osm'"))
+def osm_features(spark: SparkSession, d: str) -> DataFrame:
+    return _features(spark, d, F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))).select("source_id", "name", "category", "lon", "lat", "name_norm")
+
+
+@query("representative_points", _with(select="SELECT source_id, round(lon, 7) AS lon, round(lat, 7) AS lat FROM obs WHERE source = 'osm'"))
+def representative_points(spark: SparkSession, d: str) -> DataFrame:
+    """Each object as two squares, of which the one around its place is larger: its point is the middle of that one."""
+    at = lambda x, y: F.array(c("lon") + x, c("lat") + y)
+    square = lambda x, size: F.array(F.array(at(x - size, -size), at(x + size, -size), at(x + size, size), at(x - size, size), at(x - size, -size)))
+    got = _features(spark, d, F.struct(F.lit("MultiPolygon").alias("type"), F.array(square(0.1, 0.001), square(0.0, 0.01)).alias("coordinates")))
+    return got.select("source_id", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
+
+
+@query("tiles_read_back", _with(select="SELECT source, source_id, lon, lat FROM obs WHERE source IN ('fsq', 'osm') AND lon >= 120.25 AND lon < 120.75 AND lat >= 14.25 AND lat < 14.5"))
+def tiles_read_back(spark: SparkSession, d: str) -> DataFrame:
+    """The tiled table, of which two sources' partitions of two tiles are read."""
+    path = _scratch(spark, "tiles")
+    places.write_tiles(fixture.observations(spark, d).select(*places.COLUMNS), path, 0.25)
+    return places.read_tiles(spark, path, [Tile(57, 481, 0.25), Tile(57, 482, 0.25)], ("fsq", "osm")).select("source", "source_id", "lon", "lat")
+
+
+@query("geoparquet_read_back", _with(select="SELECT source_id, name, lon, lat FROM obs"))
+def geoparquet_read_back(spark: SparkSession, d: str) -> DataFrame:
+    path = _scratch(spark, "points")
+    geoparquet.write(spark, fixture.observations(spark, d).select("source_id", "name", geo.wkb_point(c("lon"), c("lat")).alias("geometry")), path)
+    return spark.read.parquet(path).select("source_id", "name", geo.point_of_wkb(c("geometry")).alias("p")).select("source_id", "name", "p.lon", "p.lat")
+
+
+@query("stream_edges", _with(_edges_sql(), select="SELECT left_source_id, right_source_id FROM edges"))
+def stream_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Two files of observations in two micro-batches come to the edges of one batch. Rows of the second file stood elsewhere in the first."""
+    obs = fixture.observations(spark, d).select(*places.COLUMNS)
+    half, path = F.crc32("source_id") % 2 == 0, _scratch(spark, "stream")
+    moved = obs.where(~half).withColumn("lon", F.when(F.crc32("source_id") % 3 == 0, c("lon") + 0.5).otherwise(c("lon")))
+    for part in (obs.where(half).unionByName(moved), obs.where(~half)):
+        part.write.mode("append").parquet(f"{path}/incoming")
+        incremental.start(spark, f"{path}/incoming", f"{path}/table", f"{path}/edges", f"{path}/checkpoint").awaitTermination()
+    return incremental.current_edges(spark, f"{path}/edges", f"{path}/table").select("left_source_id", "right_source_id")
+
+
 @query("wkb_points", _with(select="SELECT source_id, 21::BIGINT AS size, true AS same FROM obs"))
 def wkb_points(spark: SparkSession, d: str) -> DataFrame:
     """The bytes of a point hold its coordinates: ``same`` where the header is a point's and both coordinates, read back, are the row's."""

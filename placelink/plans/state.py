@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import shutil
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -67,6 +68,26 @@ def pin(root: Path, source: str, release: str | None = None) -> str | None:
     return (read_json(at) or {}).get("release")
 
 
+def newest(spark, path: str) -> tuple[str, str] | None:
+    """(release, folder) of the latest dated folder in ``path`` - ``dt=2026-01-31``, ``2026-01-31`` or ``2026-01-31.0`` - on any storage that Spark reads; None if there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [str(x.getPath().getName()) for x in files.listStatus(at) if x.isDirectory()]
+    dated = {m[1]: n for n in names if (m := re.fullmatch(r"(?:dt=)?(\d{4}-\d{2}-\d{2}(?:\.\d+)?)", n))}
+    if not dated:
+        return None
+    release = max(dated, key=lambda r: [*r.split(".")[0].split("-"), int((r.split(".") + ["0"])[1])])
+    return release, f"{path.rstrip('/')}/{dated[release]}"
+
+
+def adopt(root: Path, source: str, release: str, replace: bool = False) -> str:
+    """Pins a release, or the same one again; another one only where the caller says that what was made from the former goes."""
+    former = pin(root, source)
+    if former is not None and former != release and not replace:
+        raise StateError(f"{source}: pinned to {former}, not {release}; say that the former is to be replaced")
+    return pin(root, source, release)
+
+
 def snapshot(root: Path, sources: tuple[str, ...], tiles: list[Tile], have: dict[str, set[str]], table_release: dict[str, str | None]) -> dict:
     """The identity of all inputs; raises one error that lists every missing tile and every release that differs.
 

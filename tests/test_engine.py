@@ -194,6 +194,51 @@ def test_tiles_and_build(spark, tmp_path, capsys):
     capsys.readouterr()
 
 
+def test_ingest_from_provider_files(spark, tmp_path, capsys):
+    """Dated folders, land, pins, and the gate in front of the build."""
+    import json
+
+    obs = _obs(spark)
+    c = F.col
+    fsq = obs.where("source = 'fsq'").select(c("source_id").alias("fsq_place_id"), "name", F.array("category").alias("fsq_category_labels"), c("lon").alias("longitude"), c("lat").alias("latitude"), F.lit("PH").alias("country"), F.lit(None).cast("string").alias("date_closed"))
+    for release in ("2025-12-31", "2026-02-01"):
+        (fsq if release > "2026" else fsq.limit(1)).write.parquet(str(tmp_path / "raw" / "fsq" / f"dt={release}"))
+    over = obs.where("source = 'overture'").select(c("source_id").alias("id"), F.struct(c("name").alias("primary")).alias("names"), F.struct(c("category").alias("primary")).alias("categories"), F.struct(c("lon").alias("xmin"), c("lat").alias("ymin")).alias("bbox"))
+    over.write.parquet(str(tmp_path / "raw" / "overture" / "2026-01-21.0"))
+    ring = [(119.5, 13.5), (121.5, 13.5), (121.5, 15.5), (119.5, 15.5), (119.5, 13.5)]
+    spark.createDataFrame([("r", [{"x": x, "y": y} for x, y in ring])], "ring_id string, points array<struct<x: double, y: double>>").write.parquet(str(tmp_path / "land"))
+    root = tmp_path / "root"
+    where = ["--bbox", "119.0,13.0,122.0,16.0", "--name", "all"]
+    at = lambda name: str(tmp_path / "raw" / name)
+    assert cli.main(["--root", str(root), "ingest", *where, "--fsq", at("fsq"), "--overture", at("overture"), "--land", str(tmp_path / "land")]) == 0
+    said = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert said["releases"] == {"fsq": "2026-02-01", "overture": "2026-01-21.0"} and state.pin(root, "fsq") == "2026-02-01"
+    assert places.read_tiles(spark, str(root / "observations")).groupBy("source").count().orderBy("source").collect() == [("fsq", 2000), ("overture", 1333)]
+    assert cli.main(["--root", str(root), "build", *where, "--sources", "fsq,osm"]) == 2 and "osm: no release" in capsys.readouterr().err
+    assert cli.main(["--root", str(root), "build", *where, "--sources", "fsq,overture"]) == 0
+    assert spark.read.parquet(str(root / "outputs" / "bbox_all" / "observations")).count() == 3333
+    over.limit(5).write.parquet(str(tmp_path / "raw" / "overture" / "2026-01-21.1"))
+    assert cli.main(["--root", str(root), "ingest", *where, "--overture", at("overture")]) == 2 and "pinned to 2026-01-21.0" in capsys.readouterr().err
+    assert state.newest(spark, str(tmp_path / "raw")) is None
+    (root / "areas.yml").write_text("manila:\n  boxes:\n  - [120.9, 14.5, 121.1, 14.7]\n")
+    assert cli.areas(root)["manila"]["boxes"] == [[120.9, 14.5, 121.1, 14.7]]
+    capsys.readouterr()
+
+
+def test_stream_moves_an_id(spark, tmp_path):
+    """A row that a later batch puts into another tile no longer matches where it was, and is not matched by what comes there."""
+    one = lambda i, s, lon: (s, i, "jollibee ayala", None, lon, 14.5, None, None, "jollibee ayala", "ayala jollibee")
+    batches = [[one("a", "fsq", 120.1), one("b", "osm", 120.1)], [one("a", "fsq", 122.1)], [one("c", "overture", 120.1), one("d", "osm", 122.1)]]
+    paths = {n: str(tmp_path / n) for n in ("incoming", "table", "edges", "check")}
+    for rows in batches:
+        spark.createDataFrame(rows, places.SCHEMA).coalesce(1).write.mode("append").parquet(paths["incoming"])
+        incremental.start(spark, paths["incoming"], paths["table"], paths["edges"], paths["check"]).awaitTermination()
+    got = {(r.left_source_id, r.right_source_id) for r in incremental.current_edges(spark, paths["edges"], paths["table"]).collect()}
+    assert got == {("c", "b"), ("a", "d")}
+    read = incremental.around(spark.createDataFrame([one("x", "fsq", 122.1)], places.SCHEMA), spark.read.parquet(paths["table"]))
+    assert {r.source_id for r in read.collect()} == {"a", "d"} and "PartitionFilters: [isnotnull(tile_x" in read._jdf.queryExecution().explainString(read._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 def test_stream_equals_batch(spark, tmp_path):
     obs = _obs(spark).where("lon < 120.2")
     half = F.crc32("source_id") % 2 == 0
