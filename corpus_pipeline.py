@@ -57,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: A trained classifier and a genetic algorithm are beyond SQL; tests hold each stage against a brute-force version.
+#: A trained classifier and a genetic algorithm are beyond SQL; tests/llm/test_pipeline.py holds each stage against brute force on planted and odd rows.
 ORACLE_SQL: str | None = None
