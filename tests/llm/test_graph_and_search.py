@@ -225,12 +225,34 @@ def test_top_k_prunes():
     space = topk.Space(v[::200], float(np.max(np.sum(v.astype(float) ** 2, axis=1))))
     d = space.of_vectors(v)
     cell = d.argmin(axis=1)
-    blocks = [(int(c), d[cell == c, c].min(), d[cell == c, c].max(), np.flatnonzero(cell == c).astype("<i8").tobytes(), v[cell == c].tobytes()) for c in np.unique(cell)]
+    blocks = [(d[cell == c].min(axis=0), d[cell == c].max(axis=0), np.flatnonzero(cell == c).astype("<i8").tobytes(), v[cell == c].tobytes()) for c in np.unique(cell)]
     best, visited = topk.search_lane(blocks, v[:5], np.arange(5), space, 3, 8)
     score = topk.inner(v[:5], v)
     score[np.arange(5), np.arange(5)] = -(10**15)
     want = {(i, int(j)) for i in range(5) for j in np.lexsort((np.arange(len(v)), -score[i]))[:3]}
     assert {(int(a), int(b)) for a, b in zip(best.q, best.id, strict=True)} == want and visited < 5 * len(blocks)
+    again, fewer = topk.search_lane(blocks, v[:5], np.arange(5), space, 3, 8, best.least)
+    assert set(zip(again.q, again.id, strict=True)) == set(zip(best.q, best.id, strict=True)) and 5 <= fewer <= visited
+
+
+def test_top_k_sends_queries_only_to_lanes_in_reach(spark, folder, monkeypatch):
+    """Tight clusters: the notes of the blocks rule most lanes out before a vector moves."""
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(12, 8))
+    rows = [(i, [float(x) for x in (centres[i % 12] / np.linalg.norm(centres[i % 12]) + r.normal(size=8) * 0.002)], 0) for i in range(1200)]
+    monkeypatch.setattr(topk, "LANE_BLOCKS", 1)
+    sent, write = {}, topk.written
+
+    def counted(df, name, *more):
+        out = write(df, name, *more)
+        sent[name] = out.count()
+        return out
+
+    monkeypatch.setattr(topk, "written", counted)
+    at = folder(embeddings=rows)
+    got = [tuple(x) for x in topk.top_k(spark.read.parquet(at + "/embeddings.parquet").selectExpr("*", "1 AS lane", "2 AS id", "3 AS score")).collect()]
+    assert set(got) == brute_top(rows) and len(got) == 5 * 24
+    assert sent["reach"] < 0.5 * sent["queries"] * sent["index"], sent
 
 
 def brute_pages(rows):
