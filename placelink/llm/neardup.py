@@ -43,6 +43,8 @@ from .storage import dropped, table, unused, written
 from .textcore import Words, distinct_in, mixed, slices, texts
 
 U = np.uint64
+#: Bytes of text whose shingles are made at once: some 150 bytes of arrays a byte.
+SLICE = 1 << 19
 MARGIN = 5.0
 CENTRES = 8
 #: Sets that are compared with a centre's set in one row, and useful shingles of a block in the exact end.
@@ -139,7 +141,7 @@ def signatures(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 19):
+            for batch in slices(whole, "text", SLICE):
                 key, first = shingle_sets(batch.column("text"), plan.shingle)
                 n = np.diff(first)
                 full = np.flatnonzero(n)
@@ -180,7 +182,7 @@ def shingled(docs: DataFrame, ids: DataFrame, plan: Plan, id_col: str, text_col:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 key, first = shingle_sets(batch.column("text"), plan.shingle)
                 raw = [key[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(raw, pa.binary())], ["id", "s"])
