@@ -73,6 +73,15 @@ def accepted(distance: Column, score: Column, left: Column, right: Column, max_d
     return (left != "") & (right != "") & F.when(is_generic(left) | is_generic(right), strict).otherwise(by_distance.otherwise(False))
 
 
+def least_score(distance: Column, left: Column, right: Column, max_distance_m: float) -> Column:
+    """The score from which ``accepted`` lets a pair in; null where none does. Named once in a filter, where ``accepted`` names the score for each band."""
+    steps = bands(max_distance_m)
+    out = F.when(is_generic(left) | is_generic(right), F.when(distance <= min(GENERIC_MAX_M, max_distance_m), F.lit(GENERIC_MIN_SCORE)))
+    for limit, least in steps:
+        out = out.when(distance <= limit, F.lit(least))
+    return F.when((left != "") & (right != ""), out)
+
+
 def accepts(distance: float, score: float, left: str, right: str, max_distance_m: float = 120.0) -> bool:
     """The same rule in plain Python."""
     if not left or not right or distance > max_distance_m:
@@ -127,7 +136,7 @@ def edges(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str,
     c = F.col
     # What the best score that two names may reach does not let in, for their distance, never gets to Python.
     most = most_jw(*[c(f"{p}_{x}") for x in ("name_norm", "name_tokens", "letters") for p in "lr"])
-    possible = candidates(obs, cfg, sources, core, fresh).where(accepted(c("distance_m"), most, c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
+    possible = candidates(obs, cfg, sources, core, fresh).where(most >= least_score(c("distance_m"), c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
     kept = named(possible).where(accepted(c("distance_m"), c("name_score"), c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
     scored = kept.withColumn("category_score", category_score(c("l_category"), c("r_category")))
     return scored.select(
