@@ -17,6 +17,7 @@ is its own, not the id); an empty table gives no rows; other columns are not rea
 
 from __future__ import annotations
 
+import functools
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -207,7 +208,7 @@ def _seed(*key: int) -> int:
 
 
 def _evolved(items: DataFrame, capacity: int) -> DataFrame:
-    """(uid, length, bin) for (uid, length): bin is the smallest uid in it."""
+    """(uid, length, bin, fill, offset) for (uid, length): bin is the smallest uid in it, fill what lies in it; the longest piece lies first."""
     demes = max(1, -(-items.count() // DEME))
     dealt = items.withColumn("deme", F.pmod(F.xxhash64("uid"), F.lit(demes)).cast("int"))
     #: An island is a row: its pieces in order of uid, and its population, one grouping after another.
@@ -249,7 +250,11 @@ def _evolved(items: DataFrame, capacity: int) -> DataFrame:
         group = max((x[3][0] for x in all_), key=genes.fitness)
         lowest = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(lowest, group, uid)
-        return pa.table({"uid": uid, "length": size, "bin": lowest[group]})
+        fill = genes.fill(group).astype(np.int64)
+        order = np.lexsort((-uid, -size, group))
+        offset = np.empty_like(size)
+        offset[order] = np.cumsum(size[order]) - size[order] - (np.cumsum(fill) - fill)[group[order]]
+        return pa.table({"uid": uid, "length": size, "bin": lowest[group], "fill": fill[group], "offset": offset})
 
     islands = dealt.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)]))).select("deme", "island", "uid", "length")
     state = written(islands.groupBy("deme", "island").applyInArrow(begin, schema), "islands")
@@ -258,7 +263,7 @@ def _evolved(items: DataFrame, capacity: int) -> DataFrame:
         moved = state.withColumn("origin", F.col("island")).withColumn("island", F.explode(F.array(F.col("island"), (F.col("island") + 1) % ISLANDS))).withColumn("epoch", F.lit(epoch))
         light = moved.withColumn("population", F.when(F.col("island") == F.col("origin"), F.col("population")).otherwise(F.slice("population", 1, F.size("uid"))))
         state = written(light.groupBy("deme", "island", "epoch").applyInArrow(migrate, schema), "islands")
-    return state.withColumn("origin", F.col("island")).groupBy("deme").applyInArrow(choose, "uid long, length long, bin long")
+    return state.withColumn("origin", F.col("island")).groupBy("deme").applyInArrow(choose, "uid long, length long, bin long, fill long, offset long")
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -270,20 +275,13 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     parts = written(parts.drop("sequence_id", "offset").withColumn(key, F.monotonically_increasing_id()), "pieces")
     rest = parts.where(F.col("length") < capacity).select(F.col(key).alias("uid"), "length")
     done: list[DataFrame] = []
-    for _ in range(ROUNDS):
+    for more in reversed(range(ROUNDS)):
         packed = written(_evolved(rest, capacity), "packed")
-        fill = packed.groupBy("bin").agg(F.sum("length").alias("fill"))
-        poor = fill.where(F.col("fill") < REOPEN * capacity).select("bin")
-        done.append(packed.join(poor, "bin", "left_anti").select("uid", "length", "bin"))
-        rest = packed.join(poor, "bin", "left_semi").select("uid", "length")
-        last = packed.join(poor, "bin", "left_semi").select("uid", "length", "bin")
-    bins = done[0]
-    for more in [*done[1:], last]:
-        bins = bins.unionByName(more)
-    placed = bins.groupBy("bin").agg(F.sort_array(F.collect_list(F.struct("length", "uid")), asc=False).alias("items"))  # at most capacity pieces
-    ends = F.aggregate("items", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["length"])))
-    places = placed.withColumn("ends", ends).select("bin", F.posexplode("items").alias("k", "item"), "ends").select(
-        F.col("item.uid").alias(key), (2 * F.col("bin")).alias("sequence_id"), F.get("ends", F.col("k")).alias("offset"))
+        poor = F.col("fill") < REOPEN * capacity
+        done.append(packed.where(~poor) if more else packed)
+        rest = packed.where(poor).select("uid", "length")
+    bins = functools.reduce(DataFrame.unionByName, done)
+    places = bins.select(F.col("uid").alias(key), (2 * F.col("bin")).alias("sequence_id"), "offset")
     short = parts.where(F.col("length") < capacity).join(places, key)
     full = parts.where(F.col("length") == capacity).withColumns({"sequence_id": 2 * F.col(key) + 1, "offset": F.lit(0).cast("long")})
     return short.unionByName(full).drop(key)
