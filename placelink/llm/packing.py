@@ -92,13 +92,13 @@ class Genes:
         """Puts ``items``, in this order, each into the bin with the least room that is enough, else into a new one."""
         used = group >= 0
         n = int(group.max(initial=-1)) + 1
-        room = (self.capacity - np.bincount(group[used], self.size[used], n)).astype(int).tolist()
+        room = (self.capacity - np.bincount(group[used], self.size[used], n)).astype(int)
         by_room: list[list[int]] = [[] for _ in range(self.capacity + 1)]
         open_ = 0
-        for b, r in enumerate(room):
-            if 0 < r < self.capacity:
-                by_room[r].append(b)
-                open_ |= 1 << r
+        some = np.flatnonzero((room > 0) & (room < self.capacity))
+        for b, r in zip(some.tolist(), room[some].tolist(), strict=True):
+            by_room[r].append(b)
+            open_ |= 1 << r
         placed = []
         for s in self.size[items].tolist():
             fits = open_ >> s
@@ -147,6 +147,7 @@ class Genes:
         tight = held[room[group[held]] > 0]
         if not len(tight) or not len(loose):
             return loose
+        room = room.astype(int).tolist()  # the loop below is quicker with Python's own numbers
         tight = self.random.permutation(tight)[:EXCHANGES]
         loose = loose[np.argsort(self.size[loose], kind="stable")].tolist()
         sizes = self.size[loose].tolist()
