@@ -2,7 +2,7 @@
 
 All source pairs come from one join: each row meets the rows of later sources in its own and the eight cells around. A
 cell is at least as wide as the match radius anywhere in the area, so no pair is lost; the box condition
-spares most trigonometry; Python scores names only for pairs within the radius.
+spares most trigonometry. Where names are scored, ``pairs`` forms the pairs: a row crosses to Python once a cell.
 """
 
 from __future__ import annotations
@@ -10,11 +10,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelink.functions import geo, licence, text
-from placelink.functions.similarity import best_jw, jw, letters, most_jw
+from placelink.functions.similarity import jw
+from placelink.operators import pairs
 from placelink.plans.scope import CODE, SOURCES, Tile, source_pairs
 
 # Fixed values of the matching rules.
@@ -64,22 +66,18 @@ def is_generic(name: Column) -> Column:
     return name.isin(*GENERIC_NAMES) | (F.length(name) <= GENERIC_MAX_LENGTH)
 
 
-def accepted(distance: Column, score: Column, left: Column, right: Column, max_distance_m: float) -> Column:
+def admitted(distance: Column, score: Column, generic: Column, max_distance_m: float) -> Column:
+    """The ladder, and the strict rule where a name is generic. Names are not empty."""
     steps = bands(max_distance_m)
     by_distance = F.when(distance <= steps[0][0], score >= steps[0][1])
     for limit, least in steps[1:]:
         by_distance = by_distance.when(distance <= limit, score >= least)
     strict = (distance <= min(GENERIC_MAX_M, max_distance_m)) & (score >= GENERIC_MIN_SCORE)
-    return (left != "") & (right != "") & F.when(is_generic(left) | is_generic(right), strict).otherwise(by_distance.otherwise(False))
+    return F.when(generic, strict).otherwise(by_distance.otherwise(False))
 
 
-def least_score(distance: Column, left: Column, right: Column, max_distance_m: float) -> Column:
-    """The score from which ``accepted`` lets a pair in; null where none does. Named once in a filter, where ``accepted`` names the score for each band."""
-    steps = bands(max_distance_m)
-    out = F.when(is_generic(left) | is_generic(right), F.when(distance <= min(GENERIC_MAX_M, max_distance_m), F.lit(GENERIC_MIN_SCORE)))
-    for limit, least in steps:
-        out = out.when(distance <= limit, F.lit(least))
-    return F.when((left != "") & (right != ""), out)
+def accepted(distance: Column, score: Column, left: Column, right: Column, max_distance_m: float) -> Column:
+    return (left != "") & (right != "") & admitted(distance, score, is_generic(left) | is_generic(right), max_distance_m)
 
 
 def accepts(distance: float, score: float, left: str, right: str, max_distance_m: float = 120.0) -> bool:
@@ -108,14 +106,6 @@ def candidates(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[
     return near.where(c("distance_m") <= cfg.max_distance_m).drop("nx", "ny", "gx", "gy")
 
 
-def named(pairs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """With name_score, as a double. Pairs that a generic name rules out by distance are gone before Python sees them."""
-    c = F.col
-    generic = is_generic(c("l_name_norm")) | is_generic(c("r_name_norm"))
-    possible = pairs.where((c("l_name_norm") != "") & (c("r_name_norm") != "") & (~generic | (c("distance_m") <= GENERIC_MAX_M)))
-    return possible.withColumn("name_score", best_jw(c("l_name_norm"), c("r_name_norm"), c("l_name_tokens"), c("r_name_tokens"), cutoff))
-
-
 def category_score(left: Column, right: Column) -> Column:
     return F.when(text.blank(left) | text.blank(right), F.lit(0.0)).otherwise(jw(F.lower(F.coalesce(left, F.lit(""))), F.lower(F.coalesce(right, F.lit("")))))
 
@@ -126,23 +116,47 @@ def score(name: Column, distance: Column, category: Column, max_distance_m: floa
     return (F.lit(n) * name + F.lit(d) * near + F.lit(k) * category).cast("float")
 
 
-def independent() -> Column:
-    """False where an Overture record of an fsq-overture pair declares Foursquare as its provenance."""
-    pair = (F.col("l_source") == "fsq") & (F.col("r_source") == "overture")
-    return F.when(pair, ~licence.declares_fsq(F.col("r_provenance"))).otherwise(True)
+def _sides(sources: tuple[str, ...], core: Tile | None) -> tuple[Column, Column]:
+    codes = [CODE[s] for s in sources]
+    left = F.col("code") < max(codes)
+    return left if core is None else left & core.contains(F.col("lon"), F.col("lat")), F.col("code") > min(codes)
+
+
+def _coded(obs: DataFrame, sources: tuple[str, ...]) -> DataFrame:
+    return obs.where(F.col("source").isin(*sources)).withColumn("code", F.expr("CASE source " + " ".join(f"WHEN '{s}' THEN {n}" for s, n in CODE.items()) + " END"))
+
+
+def scored(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, tokens: bool = True) -> DataFrame:
+    """l_source_id, r_source_id and name_score of all pairs within the radius; with ``tokens`` the larger of the names' and the sorted tokens' scores."""
+    name = F.concat("name_norm", F.coalesce(F.concat(F.lit(pairs.MARK), "name_tokens"), F.lit(""))) if tokens else F.col("name_norm")
+    rows = _coded(obs, sources).select("source", "source_id", "code", "lon", "lat", name.alias("name"), F.lit(False).alias("generic"))
+    return pairs.met(rows, cfg.cell, cfg.lat_span, cfg.max_distance_m, _sides(sources, None), "best" if tokens else "norm", 0.0, None, ["source_id"])
 
 
 def edges(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None, fresh: str | None = None) -> DataFrame:
-    c = F.col
-    # What the best score that two names may reach does not let in, for their distance, never gets to Python.
-    most = most_jw(*[c(f"{p}_{x}") for x in ("name_norm", "name_tokens", "letters") for p in "lr"])
-    possible = candidates(obs, cfg, sources, core, fresh).where(most >= least_score(c("distance_m"), c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
-    kept = named(possible).where(accepted(c("distance_m"), c("name_score"), c("l_name_norm"), c("r_name_norm"), cfg.max_distance_m))
-    scored = kept.withColumn("category_score", category_score(c("l_category"), c("r_category")))
-    return scored.select(
+    """Accepted pairs. Python forms and scores them and lets through what may be accepted; distances and the verdict are Spark's."""
+    c, metres = F.col, cfg.max_distance_m
+    steps = bands(metres)
+    chords, least = np.array([pairs._chord(d) for d, _ in steps]) * (1 + 1e-9), np.array([s for _, s in steps])
+    strict = pairs._chord(min(GENERIC_MAX_M, metres)) * (1 + 1e-9)
+
+    def keeps(chord: np.ndarray, score: np.ndarray, generic: np.ndarray) -> np.ndarray:
+        band = np.minimum(np.searchsorted(chords, chord), len(least) - 1)
+        return np.where(generic, (chord <= strict) & (score >= GENERIC_MIN_SCORE), score >= least[band])
+
+    category = F.when(~text.blank(c("category")), F.lower("category"))
+    columns = ["source", "source_id", "lon", "lat", "generic", "declares", "category"]
+    rows = _coded(obs, sources).where(c("name_norm") != "").select(
+        "source", "source_id", "code", "lon", "lat", F.concat("name_norm", F.coalesce(F.concat(F.lit(pairs.MARK), "name_tokens"), F.lit(""))).alias("name"), is_generic(c("name_norm")).alias("generic"),
+        category.alias("category"), F.when(c("source") == "overture", licence.declares_fsq(c("provenance"))).alias("declares"), *([c(fresh).alias("fresh")] if fresh else []))
+    met = pairs.met(rows, cfg.cell, cfg.lat_span, metres, _sides(sources, core), "best", min(least), keeps, columns, bool(fresh))
+    placed = met.withColumn("distance_m", geo.haversine(c("l_lon"), c("l_lat"), c("r_lon"), c("r_lat")))
+    kept = placed.where((c("distance_m") <= metres) & admitted(c("distance_m"), c("name_score"), c("l_generic") | c("r_generic"), metres))
+    independent = F.when((c("l_source") == "fsq") & (c("r_source") == "overture"), ~c("r_declares")).otherwise(True)
+    return kept.select(
         c("l_source").alias("left_source"), c("l_source_id").alias("left_source_id"), c("r_source").alias("right_source"), c("r_source_id").alias("right_source_id"), "distance_m",
         c("name_score").cast("float").alias("name_score"), c("category_score").cast("float").alias("category_score"),
-        score(c("name_score"), c("distance_m"), c("category_score"), cfg.max_distance_m).alias("score"), independent().alias("independent"),
+        score(c("name_score"), c("distance_m"), c("category_score"), metres).alias("score"), independent.alias("independent"),
     )
 
 

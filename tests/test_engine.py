@@ -249,3 +249,37 @@ def test_stream_equals_batch(spark, tmp_path):
         q.awaitTermination()
     got = {(r.left_source_id, r.right_source_id) for r in incremental.current_edges(spark, paths["edges"], paths["table"]).collect()}
     assert got == {(r.left_source_id, r.right_source_id) for r in match.edges(obs).collect()} and got
+
+
+def test_a_dense_cell_loses_no_pair_and_scores_each_pair_of_names_once(spark, monkeypatch):
+    """Many rows of few names at one place: the cell is dealt to several tasks, pairs are formed in slabs, names are remembered."""
+    import numpy as np
+    import pyarrow as pa
+
+    from placelink.operators import pairs
+
+    r = np.random.default_rng(4)
+    names = ["jollibee makati", "jolibee makati", "seven eleven", "atm", "bank of manila", "manila bank of"]
+    rows = [(s, f"{s}{i}", names[int(r.integers(6))], None, 121.0 + float(r.random()) * 0.003, 14.5 + float(r.random()) * 0.003, None, None) for s in ("fsq", "overture", "osm") for i in range(60)]
+    obs = spark.createDataFrame(rows, "source string, source_id string, name string, category string, lon double, lat double, provenance string, upstream_license string")
+    obs = obs.withColumn("name_norm", F.col("name")).withColumn("name_tokens", F.array_join(F.array_sort(F.split("name", " ")), " "))
+    whole = {(x.left_source_id, x.right_source_id, x.score) for x in match.edges(obs).collect()}
+    monkeypatch.setattr(pairs, "DENSE", 7)
+    assert {(x.left_source_id, x.right_source_id, x.score) for x in match.edges(obs).collect()} == whole and whole
+
+    scored = []
+    monkeypatch.setattr(pairs, "jaro_winkler", lambda a, b, f=pairs.jaro_winkler: scored.extend(zip(a, b, strict=True)) or f(a, b))
+    known = pairs.Scores()
+    number = known.encode(pa.array([*names, None]))
+    i, j = (np.array(x) for x in zip(*[(i, j) for i in range(7) for j in range(7)] * 3, strict=True))
+    first, again = known.of(number[i], number[j]), known.of(number[i], number[j])
+    assert len(scored) == 36 and np.array_equal(first, again, equal_nan=True) and np.isnan(first).sum() == 3 * 13
+
+    at = pa.record_batch({"nx": [0] * 9, "ny": [0] * 9, "part": [0] * 9, "side": [0] * 4 + [1] * 5, "code": [1, 1, 1, 2, 2, 2, 4, 4, 4], "lon": [0.0] * 9, "lat": [0.0] * 9})
+    monkeypatch.setattr(pairs, "SLAB", 3)
+    slabs = list(pairs.near(at, 1.0, 1.0, 10.0, False))
+    met = {(int(a), int(b)) for x, y, _ in slabs for a, b in zip(x, y, strict=True)}
+    assert met == {(a, b) for a in range(3) for b in range(4, 9)} | {(3, b) for b in (6, 7, 8)} and len(slabs) == 4
+    monkeypatch.setattr(pairs, "HELD", 2)
+    cut = list(pairs.cells(iter([pa.record_batch({"nx": [1, 1, 2], "ny": [0] * 3, "part": [0] * 3}), pa.record_batch({"nx": [2, 2, 3], "ny": [0] * 3, "part": [0] * 3})])))
+    assert [b.column("nx").to_pylist() for b in cut] == [[1, 1], [2, 2, 2], [3]]
