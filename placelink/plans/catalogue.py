@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelink.functions import geo, licence, similarity, text
+from placelink.functions import geo, licence, text
 from placelink.operators import canonical, cluster, match, validate
 from placelink.plans import fixture
 from placelink.plans.scope import SOURCES, Scope, Tile, source_pairs, tile_columns
@@ -228,17 +228,17 @@ def within_distance(spark: SparkSession, d: str) -> DataFrame:
     return match.candidates(fixture.observations(spark, d), match.MatchConfig(60.0)).groupBy(c("l_source").alias("left_source"), c("r_source").alias("right_source")).agg(F.count("*").alias("n"))
 
 
-def _jw(name: str, sql: str, score: Callable[[], Column]) -> None:
+def _jw(name: str, sql: str, pairs: Callable[[DataFrame], DataFrame], score: Callable[[], Column]) -> None:
     @query(name, _with(_edges_sql(), select=f"SELECT li AS left_source_id, ri AS right_source_id, round({sql}, 9) AS s FROM within"))
     def run(spark: SparkSession, d: str) -> DataFrame:
-        got = match.candidates(fixture.observations(spark, d)).withColumn("s", score())
+        got = pairs(fixture.observations(spark, d)).withColumn("s", score())
         return got.select(c("l_source_id").alias("left_source_id"), c("r_source_id").alias("right_source_id"), F.round("s", 9).alias("s"))
 
 
-_jw("jw_names", "jaro_winkler_similarity(ln, rn)", lambda: similarity.jw(c("l_name_norm"), c("r_name_norm")))
-_jw("jw_tokens_greatest", "jw", lambda: similarity.best_jw(c("l_name_norm"), c("r_name_norm"), c("l_name_tokens"), c("r_name_tokens"), 0.0))
-_jw("jw_cutoff", f"jaro_winkler_similarity(ln, rn, {match.CUTOFF})", lambda: similarity.jw(c("l_name_norm"), c("r_name_norm"), match.CUTOFF))
-_jw("category_score", "CASE WHEN lc IS NULL OR rc IS NULL OR trim(lc) = '' OR trim(rc) = '' THEN 0.0 ELSE jaro_winkler_similarity(lower(lc), lower(rc)) END", lambda: match.category_score(c("l_category"), c("r_category")))
+_jw("jw_names", "jaro_winkler_similarity(ln, rn)", lambda obs: match.scored(obs, tokens=False), lambda: c("name_score"))
+_jw("jw_tokens_greatest", "jw", match.scored, lambda: c("name_score"))
+_jw("jw_cutoff", f"jaro_winkler_similarity(ln, rn, {match.CUTOFF})", lambda obs: match.scored(obs, tokens=False), lambda: F.when(c("name_score") < match.CUTOFF, 0.0).otherwise(c("name_score")))
+_jw("category_score", "CASE WHEN lc IS NULL OR rc IS NULL OR trim(lc) = '' OR trim(rc) = '' THEN 0.0 ELSE jaro_winkler_similarity(lower(lc), lower(rc)) END", match.candidates, lambda: match.category_score(c("l_category"), c("r_category")))
 
 _NAMES = [("atm",), ("bdo",), ("bank",), ("jollibee",), ("seven eleven",), ("shop",), ("",), ("abcde",)]
 
