@@ -299,14 +299,14 @@ def independent_flag(spark: SparkSession, d: str) -> DataFrame:
 
 def _stages(spark: SparkSession, d: str, sources: tuple[str, ...] = SOURCES) -> tuple[DataFrame, DataFrame]:
     """(numbered observations, resolved edges)."""
-    obs = fixture.observations(spark, d, sources)
-    numbered = canonical.observations(obs)
-    return numbered, cluster.resolved(settled(match.edges(obs, sources=sources)), numbered)
+    numbered = canonical.observations(fixture.observations(spark, d, sources))
+    named = numbered.withColumn("name_norm", text.normalized(c("name"))).withColumn("name_tokens", text.sorted_tokens(c("name_norm")))
+    return numbered, cluster.identified(match.edges(named, sources=sources, key="row_id"), numbered)
 
 
 def _clustered(spark: SparkSession, d: str, sources: tuple[str, ...] = SOURCES) -> tuple[DataFrame, DataFrame, DataFrame]:
     obs, edges = _stages(spark, d, sources)
-    roots = cluster.clusters(obs.select("row_id", "source_code"), cluster.ranked(edges))
+    roots = cluster.clusters(obs.select("row_id", "source_code"), cluster.ranked(edges, by_id=True))
     return obs, roots, canonical.match_edges(edges, roots)
 
 
@@ -338,7 +338,7 @@ _RANKED = "SELECT left_source_id, right_source_id, row_number() OVER (ORDER BY s
 @query("ranked_edges", _with(_edges_sql(), select=_RANKED))
 def ranked_edges(spark: SparkSession, d: str) -> DataFrame:
     _, edges = _stages(spark, d)
-    order = cluster.ranked(edges)
+    order = cluster.ranked(edges, by_id=True).select("left_id", "right_id", "rank")
     return order.join(edges.select("left_id", "right_id", "left_source_id", "right_source_id"), ["left_id", "right_id"]).select("left_source_id", "right_source_id", "rank")
 
 

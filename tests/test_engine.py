@@ -283,3 +283,24 @@ def test_a_dense_cell_loses_no_pair_and_scores_each_pair_of_names_once(spark, mo
     monkeypatch.setattr(pairs, "HELD", 2)
     cut = list(pairs.cells(iter([pa.record_batch({"nx": [1, 1, 2], "ny": [0] * 3, "part": [0] * 3}), pa.record_batch({"nx": [2, 2, 3], "ny": [0] * 3, "part": [0] * 3})])))
     assert [b.column("nx").to_pylist() for b in cut] == [[1, 1], [2, 2, 2], [3]]
+
+
+def test_clusters_by_codes_and_by_nodes_are_the_same(spark):
+    """Edges that carry the sources of their ends cluster as the sequential rule does, without a look at the nodes."""
+    rnd = random.Random(11)
+    codes = [rnd.choice([1, 2, 4]) for _ in range(300)]
+    pairs = list({tuple(sorted(rnd.sample(range(300), 2))) for _ in range(700)})
+    pairs = [p for p in pairs if codes[p[0]] != codes[p[1]]]
+    nodes = spark.createDataFrame(list(enumerate(codes)), "row_id long, source_code int")
+    edges = spark.createDataFrame([(a, b, i, codes[a], codes[b]) for i, (a, b) in enumerate(pairs)], "left_id long, right_id long, rank long, left_code int, right_code int")
+    want = dict(enumerate(cluster.greedy(codes, pairs)))
+    for df in (edges, edges.drop("left_code", "right_code")):
+        assert {r.row_id: r.cluster_root for r in cluster.clusters(nodes, df).collect()} == want
+    names = {1: "fsq", 2: "overture", 4: "osm"}
+    obs = spark.createDataFrame([(i, names[k], f"n{i:03d}") for i, k in enumerate(codes)], "row_id long, source string, source_id string")
+    made = spark.createDataFrame([(a, b, names[codes[a]], f"n{a:03d}", names[codes[b]], f"n{b:03d}", float(i % 3), 1.0, 2.0) for i, (a, b) in enumerate(pairs)], "left_id long, right_id long, left_source string, left_source_id string, right_source string, right_source_id string, score double, name_score double, distance_m double")
+    ranks = lambda by_id: {(r.left_id, r.right_id): (r.rank, r.left_code, r.right_code) for r in cluster.ranked(made, by_id).collect()}
+    assert ranks(True) == ranks(False) and {v[1:] for v in ranks(True).values()} <= {(a, b) for a in (1, 2, 4) for b in (1, 2, 4)}
+    assert cluster.identified(made, obs).count() == len(pairs)
+    with pytest.raises(cluster.EdgeResolutionError):
+        cluster.identified(made, obs.union(obs.where("row_id = %d" % pairs[0][0])))
