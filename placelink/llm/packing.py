@@ -59,8 +59,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
         for whole in batches:
             for batch in slices(whole, "__text"):
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
-                for i, text in enumerate(batch.column("__text").to_pylist()):
-                    got = encode(text, end).astype("<u4")
+                for i, got in enumerate(encode.each(batch.column("__text").to_pylist(), end)):
                     first = len(got) % capacity or capacity
                     cuts = [0, *range(first, len(got) + 1, capacity)]
                     for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):

@@ -30,6 +30,7 @@ class Table:
         self.ids, self.freq = ids, freq
         self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         self._slots: np.ndarray | None = None
+        self._steps: np.ndarray | None = None
         self._places: np.ndarray | None = None
 
     @classmethod
@@ -69,6 +70,14 @@ class Table:
             self._slots = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.freq)
         return self._slots
 
+    @property
+    def steps(self) -> np.ndarray:
+        """Of each slot the frequency of its id, above ``BITS`` bits of its place among the id's slots."""
+        if self._steps is None:
+            place = np.arange(len(self.slots), dtype=np.uint64) - self.start[self.slots]
+            self._steps = (self.freq.astype(np.uint64)[self.slots] << U(BITS)) | place
+        return self._steps
+
     def pack(self) -> bytes:
         gaps = np.diff(self.ids, prepend=0).astype("<u4").tobytes()
         return zlib.compress(struct.pack("<I", len(self.ids)) + gaps + self.freq.astype("<u4").tobytes(), 6)
@@ -128,20 +137,22 @@ def decode_block(raw: bytes, table: Table, mark: int = 0, until: int | None = No
     stream = np.frombuffer(raw, "<u4", m, 16 + marks * size).astype(np.uint64)
     rows = -(-n // LANES)
     end = rows if until is None or until >= marks else struct.unpack_from("<I", raw, 16 + until * size)[0]
-    out = np.empty(min(n, end * LANES) - row * LANES, np.int32)
-    slots, freq, start, low = table.slots, table.freq.astype(np.uint64), table.start, U((1 << BITS) - 1)
+    out = np.empty(min(n, end * LANES) - row * LANES, np.int64)
+    steps, low, bits = table.steps, U((1 << BITS) - 1), U(BITS)
     base = row * LANES
     for r in range(row, end):
         a, b = r * LANES, min(n, (r + 1) * LANES)
-        s = x[: b - a]
-        slot = s & low
-        symbol = slots[slot]
-        out[a - base : b - base] = symbol
-        s[:] = freq[symbol] * (s >> U(BITS)) + slot - start[symbol]
+        s, slot = x[: b - a], out[a - base : b - base]
+        np.bitwise_and(s, low, out=slot.view(np.uint64))
+        step = steps.take(slot)
+        s >>= bits
+        s *= step >> bits
+        step &= low
+        s += step
         need = np.flatnonzero(s < LOW)
         s[need] = (s[need] << WORD) | stream[at : at + len(need)]
         at += len(need)
-    ids = table.ids[out].astype(np.uint32)
+    ids = table.ids[table.slots[out]].astype(np.uint32)
     # Each state must come back to where encoding began; that covers bits that no id depends on.
     if mark == 0 and end == rows and (zlib.crc32(ids.astype("<u4").tobytes()) != crc or not np.all(x == LOW)):
         raise ValueError("a block's checksum does not match: the file is damaged")

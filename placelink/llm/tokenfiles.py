@@ -61,8 +61,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = END, id_col: s
 
         for whole in batches:
             for batch in slices(whole, "text"):
-                for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    ids = encode(text, end)
+                for name, ids in zip(batch.column("doc_id").to_pylist(), encode.each(batch.column("text").to_pylist(), end), strict=True):
                     names.append(name)
                     lengths.append(len(ids))
                     held.append(ids)

@@ -377,3 +377,74 @@ def test_parts_have_the_ids_of_whole_texts():
         text = "".join(pieces[i] for i in random.integers(0, len(pieces), random.integers(1, 14)))
         assert encode(text).tolist() == encode.whole(text).tolist(), repr(text)
     assert encode(None, 2).tolist() == encode("", 2).tolist() == [2] and len(encode(None)) == 0
+
+
+class Calls:
+    """The library, with its calls counted; ``broken`` makes those for many parts fail."""
+
+    def __init__(self, library):
+        self.library, self.n, self.broken = library, 0, False
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    def encode(self, *args, **named):
+        self.n += 1
+        return self.library.encode(*args, **named)
+
+    def encode_batch_fast(self, *args, **named):
+        self.n += 1
+        if self.broken:
+            raise RuntimeError("broken")
+        return self.library.encode_batch_fast(*args, **named)
+
+
+def new_words(n, seed):
+    random = np.random.default_rng(seed)
+    return ["".join(chr(c) for c in random.choice([*range(97, 123), 0xE9, 0x3B1, 0x4E2D], random.integers(5, 12))) for _ in range(n)]
+
+
+def test_new_parts_share_calls_of_the_library(monkeypatch):
+    encode = tokens.TokenIds(bpe.read_vocabulary(bpe.default_vocabulary()))
+    calls = Calls(encode.library)
+    monkeypatch.setattr(encode.kept, "library", calls)
+    words = new_words(2000, 1)
+    text = "\n".join(", ".join(words[i : i + 20]) for i in range(0, 2000, 20))
+    assert encode(text).tolist() == encode.whole(text).tolist()
+    assert 0 < calls.n < 40, calls.n
+    calls.n = 0
+    assert encode(text).tolist() == encode.whole(text).tolist() and calls.n == 0
+
+
+def test_new_parts_of_many_texts(monkeypatch):
+    encode = tokens.TokenIds(bpe.read_vocabulary(bpe.default_vocabulary()))
+    monkeypatch.setattr(encode, "kept", tokens.Kept(encode.library, encode.never))
+    monkeypatch.setattr(tokens, "KEPT", 50)  # is cleared between a part's first and second place in a text
+    monkeypatch.setattr(tokens, "LINES", 7)
+    random = np.random.default_rng(2)
+    words = [*new_words(120, 2), "don't", "_a", "a_b", "x" * (tokens.LONG + 1), "<|endoftext|>", "\x1c", "²", "'s", "."]
+    gaps = [" ", " ", "", "\n", "\t", "\r\n", "\n ", " \n", "\n\n", "  ", "\xa0"]
+    texts = [None, "", *("".join(gaps[random.integers(len(gaps))] + words[random.integers(len(words))] for _ in range(n)) for n in random.integers(0, 300, 60))]
+    for i in range(0, len(texts), 9):
+        some = texts[i : i + 9]
+        assert [x.tolist() for x in encode.each(some, 2)] == [encode.whole(t or "").tolist() + [2] for t in some]
+    assert len(encode.kept) <= 50 and all(len(ids) and type(ids) is bytes for ids in encode.kept.values())
+
+
+def test_a_failed_call_leaves_no_parts_without_ids(monkeypatch):
+    encode = tokens.TokenIds(bpe.read_vocabulary(bpe.default_vocabulary()))
+    calls = Calls(encode.library)
+    monkeypatch.setattr(encode, "kept", tokens.Kept(calls, encode.never))
+    text = " ".join(new_words(300, 3))
+    calls.broken = True
+    with pytest.raises(RuntimeError, match="broken"):
+        encode(text)
+    calls.broken = False
+    assert encode(text).tolist() == encode.whole(text).tolist()
+
+
+def test_parts_where_a_line_end_is_no_id_of_its_own():
+    encode = tokens.TokenIds(bpe.read_vocabulary(bpe.default_vocabulary()))
+    assert tokens.Kept(encode.library, encode.never).end is not None
+    kept = tokens.Kept(encode.library, ["a\nb"])
+    assert kept.end is None and np.frombuffer(kept[" word"], "<u4").tolist() == encode.whole(" word").tolist() and not kept.new
