@@ -91,8 +91,8 @@ def accepts(distance: float, score: float, left: str, right: str, max_distance_m
 
 def candidates(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None, fresh: str | None = None) -> DataFrame:
     """Pairs of different sources within the radius, with distance_m. core: left rows are of this tile only, right rows of any; fresh: a column of which one end at least has true."""
-    columns = ["source", "source_id", "category", "provenance", "lon", "lat", "name_norm", "name_tokens", "letters", *([fresh] if fresh else [])]
-    placed = obs.where(F.col("source").isin(*sources)).withColumns({"letters": letters(F.col("name_norm")), "gx": geo.cell(F.col("lon"), cfg.cell), "gy": geo.cell(F.col("lat"), cfg.cell), "code": F.expr("CASE source " + " ".join(f"WHEN '{s}' THEN {c}" for s, c in CODE.items()) + " END")})
+    columns = ["source", "source_id", "category", "provenance", "lon", "lat", "name_norm", "name_tokens", *([fresh] if fresh else [])]
+    placed = obs.where(F.col("source").isin(*sources)).withColumns({"gx": geo.cell(F.col("lon"), cfg.cell), "gy": geo.cell(F.col("lat"), cfg.cell), "code": F.expr("CASE source " + " ".join(f"WHEN '{s}' THEN {c}" for s, c in CODE.items()) + " END")})
     side = lambda p, extra: placed.select(*[F.col(c).alias(f"{p}_{c}") for c in [*columns, "code"]], *extra)
     left = side("l", [F.col("gx"), F.col("gy")])
     left = geo.neighbours(left if core is None else left.where(core.contains(F.col("l_lon"), F.col("l_lat"))), "gx", "gy").drop("gx", "gy")
