@@ -134,27 +134,32 @@ def scored(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str,
 
 
 def edges(obs: DataFrame, cfg: MatchConfig = MatchConfig(), sources: tuple[str, ...] = SOURCES, core: Tile | None = None, fresh: str | None = None, key: str | None = None) -> DataFrame:
-    """Accepted pairs. Python forms and scores them and lets through what may be accepted; distances and the verdict are Spark's. key: a column that gives left_id and right_id."""
+    """Accepted pairs. Python forms and scores them and lets through what may be accepted; distances are Spark's, and so is the verdict on pairs too close to a limit. key: a column that gives left_id and right_id."""
     c, metres = F.col, cfg.max_distance_m
     steps = bands(metres)
-    chords, least = np.array([pairs._chord(d) for d, _ in steps]) * (1 + 1e-9), np.array([s for _, s in steps])
-    strict = pairs._chord(min(GENERIC_MAX_M, metres)) * (1 + 1e-9)
+    chords, least = np.array([pairs._chord(d) for d, _ in steps]), np.array([s for _, s in steps])
+    strict = pairs._chord(min(GENERIC_MAX_M, metres))
+
+    def passed(chord: np.ndarray, score: np.ndarray, generic: np.ndarray, widened: float, beyond: float) -> np.ndarray:
+        ladder = np.append(least, beyond)[np.searchsorted(chords * widened, chord)]
+        return np.where(generic, (chord <= strict * widened) & (score >= GENERIC_MIN_SCORE), score >= ladder)
 
     def keeps(chord: np.ndarray, score: np.ndarray, generic: np.ndarray) -> np.ndarray:
-        band = np.minimum(np.searchsorted(chords, chord), len(least) - 1)
-        return np.where(generic, (chord <= strict) & (score >= GENERIC_MIN_SCORE), score >= least[band])
+        """Limits a little wider let in; what a little narrower ones let in too is certain."""
+        return passed(chord, score, generic, 1 + 1e-7, least[-1]).astype(np.int8) + passed(chord, score, generic, 1 - 1e-7, math.inf)
 
     category = F.when(~text.blank(c("category")), F.lower("category"))
-    columns = ["source", "source_id", "lon", "lat", "generic", "declares", "category", *(["key"] if key else [])]
+    columns = ["code", "source_id", "lon", "lat", "r_declares", "category", *(["key"] if key else [])]
     rows = _coded(obs, sources).where(c("name_norm") != "").select(
         "source", "source_id", "code", "lon", "lat", F.concat("name_norm", F.coalesce(F.concat(F.lit(pairs.MARK), "name_tokens"), F.lit(""))).alias("name"), is_generic(c("name_norm")).alias("generic"),
         category.alias("category"), F.when(c("source") == "overture", licence.declares_fsq(c("provenance"))).alias("declares"), *([c(fresh).alias("fresh")] if fresh else []), *([c(key).alias("key")] if key else []))
     met = pairs.met(rows, cfg.cell, cfg.lat_span, metres, _sides(sources, core), "best", min(least), keeps, columns, bool(fresh))
     placed = met.withColumn("distance_m", geo.haversine(c("l_lon"), c("l_lat"), c("r_lon"), c("r_lat")))
-    kept = placed.where((c("distance_m") <= metres) & admitted(c("distance_m"), c("name_score"), c("l_generic") | c("r_generic"), metres))
-    independent = F.when((c("l_source") == "fsq") & (c("r_source") == "overture"), ~c("r_declares")).otherwise(True)
+    kept = placed.where(c("sure") | ((c("distance_m") <= metres) & admitted(c("distance_m"), c("name_score"), c("generic"), metres)))
+    independent = F.when((c("l_code") == CODE["fsq"]) & (c("r_code") == CODE["overture"]), ~c("r_declares")).otherwise(True)
+    source = lambda code: F.expr(f"CASE {code} " + " ".join(f"WHEN {n} THEN '{s}'" for s, n in CODE.items()) + " END")
     return kept.select(
-        *([c("l_key").alias("left_id"), c("r_key").alias("right_id")] if key else []), c("l_source").alias("left_source"), c("l_source_id").alias("left_source_id"), c("r_source").alias("right_source"), c("r_source_id").alias("right_source_id"), "distance_m",
+        *([c("l_key").alias("left_id"), c("r_key").alias("right_id")] if key else []), source("l_code").alias("left_source"), c("l_source_id").alias("left_source_id"), source("r_code").alias("right_source"), c("r_source_id").alias("right_source_id"), "distance_m",
         c("name_score").cast("float").alias("name_score"), c("category_score").cast("float").alias("category_score"),
         score(c("name_score"), c("distance_m"), c("category_score"), metres).alias("score"), independent.alias("independent"),
     )

@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelink.functions import geo
-from placelink.functions.similarity import jaro_winkler
+from placelink.functions.similarity import Picked, jaro_winkler
 
 #: Right rows of a cell for each part of its left rows.
 DENSE = 4096
-#: Rows that a task holds, pairs that it works on at once, names and pairs that it remembers.
-HELD, SLAB, NAMES, KNOWN = 16384, 1 << 19, 1 << 18, 1 << 22
+#: Rows that a task holds, pairs that it works on at once (few enough for a core's cache), pairs that it gives at once, names and pairs that it remembers.
+HELD, SLAB, GIVEN, NAMES, KNOWN = 16384, 1 << 17, 1 << 16, 1 << 18, 1 << 22
+#: Names whose scores stand in a square table (128 MB at most); of more, ``KNOWN`` pairs are remembered by key.
+WIDE = 4095
 #: Between a name and its sorted tokens; no normalized name holds it.
 MARK = "\x1f"
 
@@ -37,9 +39,12 @@ class Scores:
 
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
-        self.names: list[tuple[bytes, bytes | None]] = []
-        self.bits: list[tuple[int, int, int, int]] = []
+        self.names: list[bytes] = []
+        self.others: list[bytes] = []  # the sorted tokens, or the name where there are none
+        self.bits: list[tuple[int, int, int, int, bool]] = []
+        self.features = np.zeros((0, 5), np.int64)  # the same as an array
         self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)
+        self.table = np.full((1, 1), np.nan)  # row and column 0 are nulls; 0 is not known yet, -1 a score of 0
 
     def encode(self, column: pa.Array) -> np.ndarray:
         """Numbers of names; -1 for a null."""
@@ -51,9 +56,10 @@ class Scores:
                 at = self.ids[name] = len(self.names)
                 norm, mark, tokens = name.partition(MARK)
                 raw, other = norm.encode(), tokens.encode() if mark else norm.encode()
-                self.names.append((raw, other if other != raw else None))
+                self.names.append(raw)
+                self.others.append(other)
                 # A bit for each byte, taken mod 64: unlike bits mean unlike bytes.
-                self.bits.append((sum({1 << (x & 63) for x in raw}), len(raw), raw[0] if raw else -1, other[0] if other else -2))
+                self.bits.append((int(np.uint64(sum({1 << (x & 63) for x in raw})).astype(np.int64)), len(raw), raw[0] if raw else -1, other[0] if other else -2, other != raw))
             number[i] = at
         return number[coded.indices.fill_null(len(coded.dictionary)).to_numpy(zero_copy_only=False)]
 
@@ -61,6 +67,9 @@ class Scores:
         """The scores of pairs of numbers; NaN where one is -1."""
         if not len(left):
             return np.zeros(0)
+        if len(self.names) <= WIDE:
+            return self._looked_up(left, right)
+        self.table = np.full((1, 1), np.nan)
         code, keys = pd.factorize((left << 32) | (right & 0xFFFFFFFF))
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)
@@ -78,26 +87,48 @@ class Scores:
             self.keys, self.values = keys[order], values[order]
         return got[code]
 
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        n = len(self.table)
+        if n <= len(self.names):
+            wider = np.zeros((1 << len(self.names).bit_length(),) * 2)
+            wider[0, :] = wider[:, 0] = np.nan
+            wider[:n, :n] = self.table
+            self.table, n = wider, len(wider)
+        flat, at = self.table.reshape(-1), (left + 1) * n + (right + 1)
+        got = flat[at]
+        new = np.flatnonzero(got == 0)
+        if len(new):
+            keys = pd.unique(at[new])
+            score = self._scored(keys // n - 1, keys % n - 1)
+            flat[keys] = np.where(score == 0, -1.0, score)
+            got[new] = flat[at[new]]
+        return np.maximum(got, 0.0, out=got)
+
     def _scored(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = np.where((a < 0) | (b < 0), np.nan, 0.0)
         todo = np.flatnonzero((a >= 0) & (b >= 0))
         if self.floor and len(todo):
             todo = todo[self._most(a[todo], b[todo]) >= self.floor]
-        x, y = [self.names[i] for i in a[todo]], [self.names[i] for i in b[todo]]
-        out[todo] = jaro_winkler([n for n, _ in x], [n for n, _ in y])
-        both = [i for i, (p, q) in enumerate(zip(x, y, strict=True)) if p[1] is not None or q[1] is not None]
-        other = jaro_winkler([x[i][1] if x[i][1] is not None else x[i][0] for i in both], [y[i][1] if y[i][1] is not None else y[i][0] for i in both])
-        out[todo[both]] = np.maximum(out[todo[both]], other)
+        a, b = a[todo], b[todo]
+        out[todo] = jaro_winkler(Picked(self.names, a), Picked(self.names, b))
+        twin = self._features()[:, 4]
+        both = np.flatnonzero(twin[a] | twin[b])
+        out[todo[both]] = np.maximum(out[todo[both]], jaro_winkler(Picked(self.others, a[both]), Picked(self.others, b[both])))
         return out
 
+    def _features(self) -> np.ndarray:
+        """A row for each name."""
+        n = len(self.features)
+        if n < len(self.names):
+            self.features = np.concatenate([self.features, np.array(self.bits[n:], np.int64)])
+        return self.features
+
     def _most(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """No less than the score: a byte whose bit only one name has is matched nowhere, and names with unlike first bytes have no bonus."""
-        used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-        bits = [self.bits[i] for i in used]
-        mask, length, first, second = np.array([x[0] for x in bits], np.uint64), *(np.array([x[i] for x in bits], np.int64) for i in (1, 2, 3))
-        i, j = place[: len(a)], place[len(a) :]
+        mask, length, first, second, _ = self._features().T
+        i, j = a, b
         la, lb = length[i], length[j]
-        m = np.minimum(la - np.bitwise_count(mask[i] & ~mask[j]), lb - np.bitwise_count(mask[j] & ~mask[i]))
+        m = np.minimum(la - np.bitwise_count((mask[i] & ~mask[j]).view(np.uint64)), lb - np.bitwise_count((mask[j] & ~mask[i]).view(np.uint64)))
         with np.errstate(divide="ignore", invalid="ignore"):
             jaro = np.where(m > 0, (m / la + m / lb + 1) / 3, 0.0)
         bonus = np.where((first[i] == first[j]) | (second[i] == second[j]), 0.4, 0.0)
@@ -194,14 +225,16 @@ def haversine(lon1: float, lat1: float, lon2: float, lat2: float) -> float:
 
 
 def met(obs: DataFrame, cell: float, lat_span: float, metres: float, sides: tuple[Column, Column], kind: str, floor: float, keeps: Callable[..., np.ndarray] | None, columns: list[str], fresh: bool = False) -> DataFrame:
-    """l_ and r_ ``columns`` of pairs within ``metres``, with name_score and, where ``columns`` has category, category_score.
+    """l_ and r_ ``columns`` (one that is given as r_ of the right row only) of pairs within ``metres``, with name_score and, where ``columns`` has category, category_score.
 
-    obs: source, source_id, code, lon, lat, name, generic, category and ``columns``. keeps(chord, score, generic) tells which pairs are let in.
+    obs: source, source_id, code, lon, lat, name, generic, category and ``columns``. keeps(chord, score, generic) tells of each pair: 0 no, 1 let in,
+    2 let in and certain. Then there are two more columns: sure, and generic where an end is.
     """
     of = dict(obs.dtypes)
-    given = [k for k in columns if k != "category"]
+    given = [(p, k.removeprefix("r_")) for p in "lr" for k in columns if k != "category" and (p == "r" or not k.startswith("r_"))]
     categories = "category" in columns
-    schema = ", ".join([f"{p}_{k} {of[k]}" for p in "lr" for k in given] + ["name_score double"] + ["category_score double"] * categories)
+    schema = ", ".join([f"{p}_{k} {of[k]}" for p, k in given] + ["name_score double"] + ["category_score double"] * categories + ["sure boolean", "generic boolean"] * (keeps is not None))
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, kinds = scores(kind, floor), scores("category", 0.0)
@@ -212,16 +245,29 @@ def met(obs: DataFrame, cell: float, lat_span: float, metres: float, sides: tupl
             name = known.encode(rows.column("name"))
             category = kinds.encode(rows.column("category")) if categories else None
             generic = rows.column("generic").fill_null(False).to_numpy(zero_copy_only=False)
+            made: list[tuple[np.ndarray, ...]] = []
+
+            def given_back() -> pa.RecordBatch:
+                i, j, score, *told = (np.concatenate(x) for x in zip(*made, strict=True))
+                made.clear()
+                out = [rows.column(k).take(pa.array(i if p == "l" else j)) for p, k in given] + [pa.array(score, from_pandas=True)]
+                if categories:
+                    out.append(pa.array(np.nan_to_num(kinds.of(category[i], category[j]), nan=0.0)))
+                return pa.RecordBatch.from_arrays(out + [pa.array(x) for x in told], names)
+
             for i, j, chord in near(rows, cell, lat_span, metres, fresh):
                 score = known.of(name[i], name[j])
+                told = ()
                 if keeps is not None:
-                    kept = np.flatnonzero(keeps(chord, score, generic[i] | generic[j]))
+                    either = generic[i] | generic[j]
+                    verdict = keeps(chord, score, either)
+                    kept = np.flatnonzero(verdict)
                     i, j, score = i[kept], j[kept], score[kept]
-                if not len(i):
-                    continue
-                out = [rows.column(k).take(pa.array(at)) for at in (i, j) for k in given] + [pa.array(score, from_pandas=True)]
-                if categories:
-                    out.append(pa.array(np.nan_to_num(kinds.of(category[i], category[j]), nan=0.0)))
-                yield pa.RecordBatch.from_arrays(out, [f"{p}_{k}" for p in "lr" for k in given] + ["name_score"] + ["category_score"] * categories)
+                    told = (verdict[kept] == 2, either[kept])
+                made.append((i, j, score, *told))
+                if sum(len(m[0]) for m in made) >= GIVEN:
+                    yield given_back()
+            if any(len(m[0]) for m in made):
+                yield given_back()
 
     return dealt(obs, cell, sides).mapInArrow(run, schema)

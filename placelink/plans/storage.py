@@ -43,8 +43,9 @@ def dropped(*frames: DataFrame) -> None:
 
 
 def numbered(df: DataFrame, keys: list[Column], name: str, start: int = 0, keep: list[str] | None = None) -> DataFrame:
-    """Dense numbers in the order of ``keys``, by a range sort; the driver sees one count a partition. keep: the columns that are written, all by default."""
-    ordered = settled(df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*(keep or df.columns), F.monotonically_increasing_id().alias("__m")))
+    """Dense numbers in the order of ``keys``, by a range sort, or in any order without keys; the driver sees one count a partition. keep: the columns that are written, all by default."""
+    laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
+    ordered = settled(laid.select(*(keep or df.columns), F.monotonically_increasing_id().alias("__m")))
     part = F.shiftright("__m", 33).cast("int")
     counts = sorted((r[0], r[1]) for r in ordered.groupBy(part.alias("p")).count().collect())
     at, base = start, {}

@@ -304,3 +304,57 @@ def test_clusters_by_codes_and_by_nodes_are_the_same(spark):
     assert cluster.identified(made, obs).count() == len(pairs)
     with pytest.raises(cluster.EdgeResolutionError):
         cluster.identified(made, obs.union(obs.where("row_id = %d" % pairs[0][0])))
+
+
+def test_current_edges_are_read_off_bits_without_a_shuffle(spark, tmp_path):
+    """Three batches, each of which replaces rows of earlier ones: edges meet no rows, only the bits of replaced ones."""
+    from pyspark.sql import types as T
+
+    rnd = random.Random(3)
+    paths = {n: str(tmp_path / n) for n in ("incoming", "table", "edges", "check")}
+    now = {}
+    for n in range(3):
+        rows = {}
+        for k in rnd.sample(range(200), 90):
+            s, name = ("fsq", "overture", "osm")[k % 3], rnd.choice(["jollibee ayala", "jolibee ayala", "mang inasal"])
+            rows[k] = (s, f"{s}{k}", name, None, 121.0 + rnd.randrange(3) * 0.3 + rnd.random() * 0.002, 14.5, None, None, name, " ".join(sorted(name.split())))
+        now.update(rows)
+        spark.createDataFrame(list(rows.values()), places.SCHEMA).write.mode("append").parquet(paths["incoming"])
+        incremental.start(spark, paths["incoming"], paths["table"], paths["edges"], paths["check"]).awaitTermination()
+    current = incremental.current_edges(spark, paths["edges"], paths["table"])
+    ids = lambda df: Counter((r.left_source_id, r.right_source_id, round(r.score, 6)) for r in df.collect())
+    assert ids(current) == ids(match.edges(spark.createDataFrame(list(now.values()), T.StructType(places.SCHEMA.fields)))) and current.count() < spark.read.parquet(paths["edges"]).count()
+    assert "left_id" not in current.columns and "hashpartitioning" not in current._jdf.queryExecution().toString()
+    rows = spark.read.parquet(paths["table"]).where("row IS NOT NULL")
+    assert rows.count() == rows.select("row").distinct().count() == 270
+
+
+def test_scores_are_worked_out_once_and_by_bits_as_by_places(monkeypatch):
+    """However few pairs are remembered by key, a pair of few names is scored once. Scores by bits equal those by places."""
+    import numpy as np
+    import pyarrow as pa
+
+    from placelink.functions import similarity
+    from placelink.operators import pairs
+
+    rnd = random.Random(8)
+    words = list({bytes(rnd.choice(b"abcd \xff") for _ in range(rnd.choice([1, 2, 5, 9, 30, 63, 64]))) for _ in range(300)})
+    left, right = zip(*[(a, b) for a in words[:60] for b in words if a != b], strict=True)
+    assert np.array_equal(similarity.jaro_winkler(list(left), list(right)), similarity._chunk(list(left), list(right)))
+    long = [w + b"x" * 60 for w in words[:40]]
+    assert np.array_equal(similarity.jaro_winkler(long[:20] + words[:20], long[20:] + long[:20]), similarity._chunk(long[:20] + words[:20], long[20:] + long[:20]))
+
+    scored = []
+    monkeypatch.setattr(pairs, "jaro_winkler", lambda a, b, f=pairs.jaro_winkler: scored.extend(zip(a, b, strict=True)) or f(a, b))
+    monkeypatch.setattr(pairs, "KNOWN", 10)
+    names = pa.array(["jollibee makati", "makati jollibee" + pairs.MARK + "jollibee makati", "atm", None])
+    got = []
+    for wide in (pairs.WIDE, 2):
+        monkeypatch.setattr(pairs, "WIDE", wide)
+        known = pairs.Scores()
+        number = known.encode(names)
+        i, j = (np.array(x) for x in zip(*[(i, j) for i in range(4) for j in range(4)], strict=True))
+        got += [known.of(number[i], number[j]), known.of(number[i], number[j])]
+        if wide > 2:
+            assert len(scored) == 9 + 5  # names, and tokens where they are others
+    assert all(np.array_equal(got[0], x, equal_nan=True) for x in got[1:]) and got[0][1] == 1.0 and np.isnan(got[0]).sum() == 7
