@@ -23,6 +23,9 @@ from placelink.sources.places import SCHEMA
 
 
 TILE = 0.25
+#: Of these hardly a value comes twice near another of its kind; a dictionary would only be built and given up.
+PLAIN = ("left_id", "right_id", "left_source_id", "right_source_id", "distance_m", "score")
+WRITE = {"compression": "zstd", **{f"parquet.enable.dictionary#{x}": "false" for x in PLAIN}}
 
 
 def tiled(rows: DataFrame, tile: float = TILE) -> DataFrame:
@@ -66,7 +69,7 @@ def start(spark: SparkSession, incoming: str, table: str, edges: str, checkpoint
         first = history.agg(F.coalesce(F.max("row") + 1, F.lit(0))).first()[0]
         rows = numbered(batch.dropDuplicates(["source", "source_id"]), [], "row", first)
         batch = tiled(rows)
-        match_batch(rows, latest(around(rows, history)), cfg, "row").write.mode("overwrite").parquet(f"{edges}/batch={number}")
+        match_batch(rows, latest(around(rows, history)), cfg, "row").write.options(**WRITE).mode("overwrite").parquet(f"{edges}/batch={number}")
         c = F.col
         places = history.select(c("source").alias("s"), c("source_id").alias("i"), c("tile_x").alias("x"), c("tile_y").alias("y")).distinct()
         left = batch.join(places, (c("source") == c("s")) & (c("source_id") == c("i")) & ((c("tile_x") != c("x")) | (c("tile_y") != c("y"))))
